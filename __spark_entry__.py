@@ -20,7 +20,7 @@ from forumshift.operators.keys import assign_ids
 from forumshift.oracle import ORACLE
 from forumshift.plans.discovery import discover_boards
 from forumshift.plans.migration import Migration
-from forumshift.session import apply_run_conf
+from forumshift.session import apply_run_conf, checkpoint_dir
 from forumshift.sources.driver_fixture import fixture_params, fixture_sources, fixture_targets
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -65,6 +65,7 @@ def _discover(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 on its own: dense ids in (user_id, ts, event_id) order over every event."""
+    checkpoint_dir(spark, _checkpoint_fallback(spark))
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
     return assign_ids(ev, "SurrogateID", ["user_id", "ts", "event_id"]).select("event_id", "user_id", "SurrogateID")
 

@@ -13,13 +13,15 @@ the single-partition window that SQL form implies:
 4. id = base + offset(partition) + position inside the partition.
 
 The position comes from ``monotonically_increasing_id`` evaluated right after the sort in
-the same task, so no second shuffle is needed.  The order columns must be unique for ids
-to be reproducible when a task is recomputed; callers pass a tiebreaker column.
+the same task, so no second shuffle is needed.  Phase 1 (partitioned, sorted, positioned
+rows) is staged once -- range bounds are sampled and must not be re-drawn between the
+counting and the numbering.  The order columns must be unique for ids to be reproducible;
+callers pass a tiebreaker column.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,24 +41,40 @@ def max_id(df: DataFrame, id_col: str) -> Column:
     return F.coalesce(df.select(F.max(F.col(id_col)).cast("bigint")).scalar(), F.lit(0).cast("bigint"))
 
 
+def max_id_value(df: DataFrame, id_col: str) -> int:
+    """Largest existing id, resolved now (one small job over the id column only)."""
+    return int(df.select(F.max(F.col(id_col)).cast("bigint")).first()[0] or 0)
+
+
+def checkpoint_stage(df: DataFrame) -> DataFrame:
+    """Default stage: a reliable checkpoint in ``spark.checkpoint.dir`` (never a local one)."""
+    return df.checkpoint(eager=True)
+
+
 def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
-               base: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
+               base: Column | int = 0, num_partitions: int | None = None,
+               stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_as_col(c) for c in order_by]
     base_col = base if isinstance(base, Column) else F.lit(int(base))
 
+    # phase 1: range partitions in key order, each sorted, with the row's place in it
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn(_PART, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id()))
-    counts = ranged.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
+                .withColumn(_POS, F.monotonically_increasing_id()
+                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    # Range bounds come from sampling, which is not reproducible across executions (shuffle
+    # fetch order, resampling seeds).  Counting and numbering must therefore read the SAME
+    # partitioning: phase 1 is staged once (written to the shared checkpoint folder) and
+    # everything below reads that fixed data.
+    fixed = (stage or checkpoint_stage)(ranged)
+    counts = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
     running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PART, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
-    # position inside the partition: monotonically_increasing_id = (partition << 33) + index
-    local = F.col(_POS) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
-    out = (ranged.join(F.broadcast(offsets), _PART)
-                 .withColumn(id_col, (base_col.cast("bigint") + F.col(_OFF) + local + F.lit(1)).cast("bigint")))
+    out = (fixed.join(F.broadcast(offsets), _PART)
+                .withColumn(id_col, (base_col.cast("bigint") + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint")))
     return out.drop(_PART, _POS, _OFF)
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import assign_ids, max_id
+from .keys import assign_ids, max_id, max_id_value
 
 
 @dataclass
@@ -66,24 +66,29 @@ def not_matched(source: DataFrame, target: DataFrame, keys: Sequence[str],
 def insert_only_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                       source_keys: Sequence[str] | None = None, target_filter: Column | None = None,
                       id_col: str | None = None, id_order: Sequence[Column | str] | None = None,
-                      id_partitions: int | None = None, collation: str | None = None) -> MergeResult:
+                      id_partitions: int | None = None, collation: str | None = None,
+                      stage=None) -> MergeResult:
     """D1.  ``source`` carries target column names (plus any extra match columns named in
-    ``source_keys``); columns the target has but the source lacks become typed NULLs."""
+    ``source_keys``); columns the target has but the source lacks become typed NULLs.
+    ``stage`` materialises the key-assignment input (see ``keys.assign_ids``)."""
     new_rows = not_matched(source, target, keys, source_keys, target_filter, collation)
     if id_col is not None:
+        base = max_id_value(target, id_col) if stage is not None else max_id(target, id_col)
         new_rows = assign_ids(new_rows, id_col, id_order or [c for c in source.columns if c != id_col],
-                              base=max_id(target, id_col), num_partitions=id_partitions)
+                              base=base, num_partitions=id_partitions, stage=stage)
     inserted = _align(new_rows, target)
     return MergeResult(target.unionByName(inserted), inserted)
 
 
 def append(target: DataFrame, source: DataFrame, *, id_col: str | None = None,
-           id_order: Sequence[Column | str] | None = None, id_partitions: int | None = None) -> MergeResult:
+           id_order: Sequence[Column | str] | None = None, id_partitions: int | None = None,
+           stage=None) -> MergeResult:
     """Plain INSERT ... SELECT, no key and no dedup."""
     rows = source
     if id_col is not None:
+        base = max_id_value(target, id_col) if stage is not None else max_id(target, id_col)
         rows = assign_ids(rows, id_col, id_order or [c for c in source.columns if c != id_col],
-                          base=max_id(target, id_col), num_partitions=id_partitions)
+                          base=base, num_partitions=id_partitions, stage=stage)
     inserted = _align(rows, target)
     return MergeResult(target.unionByName(inserted), inserted)
 

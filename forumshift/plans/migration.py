@@ -100,8 +100,8 @@ class Migration:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
-    def add_part(self, table: str, rows: DataFrame) -> DataFrame:
-        stored = self._store(rows, table)
+    def add_part(self, table: str, rows: DataFrame, stored_already: bool = False) -> DataFrame:
+        stored = rows if stored_already else self._store(rows, table)
         self.tgt.parts[table].append(stored)
         self.inserted_by[self._current][table].append(stored)
         self._touched.add(table)
@@ -152,16 +152,24 @@ class Migration:
               scope: Column | None = None, id_col: str | None = None, id_order: Sequence | None = None,
               collation: str | None = None) -> DataFrame:
         """D1 into ``table``; returns the inserted rows (materialised)."""
+        # with ids, the inserted rows are staged inside key assignment (one write); the part
+        # is the numbered view over that staged data
         res = insert_only_merge(self.tgt[table], source, keys, source_keys=source_keys, target_filter=scope,
                                 id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
-                                collation=collation)
+                                collation=collation, stage=self._stage_fn(table))
         if table == "yaf_User":
             self._user_map = None
-        return self.add_part(table, res.inserted)
+        return self.add_part(table, res.inserted, stored_already=id_col is not None and self.materialize)
 
     def append(self, table: str, source: DataFrame, id_col: str | None = None, id_order: Sequence | None = None):
-        res = append(self.tgt[table], source, id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions)
-        return self.add_part(table, res.inserted)
+        res = append(self.tgt[table], source, id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
+                     stage=self._stage_fn(table))
+        return self.add_part(table, res.inserted, stored_already=id_col is not None and self.materialize)
+
+    def _stage_fn(self, table: str):
+        if not self.materialize:
+            return None
+        return lambda df: self._store(df, f"{table}-keys")
 
     def board_rows(self, table: str) -> DataFrame:
         return self.tgt[table].filter(F.col("BoardID") == F.lit(self.board_id))
