@@ -7,9 +7,8 @@ the single-partition window that SQL form implies:
 1. range-shuffle the rows on the order columns (sampled bounds, so one hot value of a
    *non-unique* prefix cannot pile up beyond what the sampler sees; keys are unique here),
 2. sort inside each partition,
-3. count rows per partition (a table of at most ``num_partitions`` rows -- its broadcast
-   size is bounded by the partition count, not by the data) and turn the counts into
-   running offsets,
+3. count rows per partition (at most ``num_partitions`` numbers -- bounded by the partition
+   count, not by the data) and turn the counts into running offsets,
 4. id = base + offset(partition) + position inside the partition.
 
 The position comes from ``monotonically_increasing_id`` evaluated right after the sort in
@@ -23,13 +22,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _PART = "_fs_part"
 _POS = "_fs_pos"
-_CNT = "_fs_cnt"
-_OFF = "_fs_off"
 
 
 def _as_col(c: Column | str) -> Column:
@@ -51,9 +50,15 @@ def checkpoint_stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
-               base: Column | int = 0, num_partitions: int | None = None,
-               stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+@dataclass
+class Numbered:
+    df: DataFrame     # rows with their new id
+    count: int        # number of rows numbered (so the caller knows the new max id)
+
+
+def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], base: Column | int = 0,
+                num_partitions: int | None = None,
+                stage: Callable[[DataFrame], DataFrame] | None = None) -> Numbered:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_as_col(c) for c in order_by]
@@ -70,12 +75,27 @@ def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
     # partitioning: phase 1 is staged once (written to the shared checkpoint folder) and
     # everything below reads that fixed data.
     fixed = (stage or checkpoint_stage)(ranged)
-    counts = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias(_CNT))
-    running = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PART, F.coalesce(F.sum(_CNT).over(running), F.lit(0)).alias(_OFF))
-    out = (fixed.join(F.broadcast(offsets), _PART)
-                .withColumn(id_col, (base_col.cast("bigint") + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint")))
-    return out.drop(_PART, _POS, _OFF)
+    # phase 2: rows per partition -> running offsets.  At most ``n`` small rows reach the
+    # driver (bounded by the partition count, not the data); the offsets become a literal
+    # map, so reading the numbered rows is a projection without further stages.
+    counts = sorted((r[0], r[1]) for r in fixed.groupBy(_PART).agg(F.count(F.lit(1))).collect())
+    offsets, total = {}, 0
+    for part, cnt in counts:
+        offsets[part] = total
+        total += cnt
+    if offsets:
+        lookup = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+        offset = F.element_at(lookup, F.col(_PART))
+    else:
+        offset = F.lit(0).cast("bigint")
+    out = fixed.withColumn(id_col, (base_col.cast("bigint") + offset + F.col(_POS) + F.lit(1)).cast("bigint"))
+    return Numbered(out.drop(_PART, _POS), total)
+
+
+def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
+               base: Column | int = 0, num_partitions: int | None = None,
+               stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    return number_rows(df, id_col, order_by, base, num_partitions, stage).df
 
 
 def crosswalk(target: DataFrame, lineage_col: str, id_col: str, old_name: str = "old_id",

@@ -19,13 +19,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import assign_ids, max_id, max_id_value
+from .keys import max_id_value, number_rows
 
 
 @dataclass
 class MergeResult:
     table: DataFrame      # target after the statement
     inserted: DataFrame   # rows the statement added (what an append-only publish writes)
+    numbered: int | None = None  # rows that received new ids (None when no ids were assigned)
 
 
 def _key_pairs(keys: Sequence[str], source_keys: Sequence[str] | None) -> list[tuple[str, str]]:
@@ -67,30 +68,33 @@ def insert_only_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       source_keys: Sequence[str] | None = None, target_filter: Column | None = None,
                       id_col: str | None = None, id_order: Sequence[Column | str] | None = None,
                       id_partitions: int | None = None, collation: str | None = None,
-                      stage=None) -> MergeResult:
+                      stage=None, base_id: int | None = None) -> MergeResult:
     """D1.  ``source`` carries target column names (plus any extra match columns named in
     ``source_keys``); columns the target has but the source lacks become typed NULLs.
     ``stage`` materialises the key-assignment input (see ``keys.assign_ids``)."""
     new_rows = not_matched(source, target, keys, source_keys, target_filter, collation)
+    numbered = None
     if id_col is not None:
-        base = max_id_value(target, id_col) if stage is not None else max_id(target, id_col)
-        new_rows = assign_ids(new_rows, id_col, id_order or [c for c in source.columns if c != id_col],
-                              base=base, num_partitions=id_partitions, stage=stage)
+        base = base_id if base_id is not None else max_id_value(target, id_col)
+        res = number_rows(new_rows, id_col, id_order or [c for c in source.columns if c != id_col],
+                          base=base, num_partitions=id_partitions, stage=stage)
+        new_rows, numbered = res.df, res.count
     inserted = _align(new_rows, target)
-    return MergeResult(target.unionByName(inserted), inserted)
+    return MergeResult(target.unionByName(inserted), inserted, numbered)
 
 
 def append(target: DataFrame, source: DataFrame, *, id_col: str | None = None,
            id_order: Sequence[Column | str] | None = None, id_partitions: int | None = None,
-           stage=None) -> MergeResult:
+           stage=None, base_id: int | None = None) -> MergeResult:
     """Plain INSERT ... SELECT, no key and no dedup."""
-    rows = source
+    rows, numbered = source, None
     if id_col is not None:
-        base = max_id_value(target, id_col) if stage is not None else max_id(target, id_col)
-        rows = assign_ids(rows, id_col, id_order or [c for c in source.columns if c != id_col],
+        base = base_id if base_id is not None else max_id_value(target, id_col)
+        res = number_rows(rows, id_col, id_order or [c for c in source.columns if c != id_col],
                           base=base, num_partitions=id_partitions, stage=stage)
+        rows, numbered = res.df, res.count
     inserted = _align(rows, target)
-    return MergeResult(target.unionByName(inserted), inserted)
+    return MergeResult(target.unionByName(inserted), inserted, numbered)
 
 
 def update_only_merge(target: DataFrame, matched_keys: DataFrame, keys: Sequence[str],

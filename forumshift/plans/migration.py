@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lineage import add_lineage, drop_lineage
+from ..operators.keys import max_id_value
 from ..operators.merge import append, insert_only_merge
 from ..params import RunParams
 from ..schemas import LINEAGE, SOURCES, TARGETS
@@ -79,6 +80,7 @@ class Migration:
         self.new_rank: int | None = None
         self.done: list[str] = []
         self.timings: dict[str, float] = {}
+        self._max_ids: dict[str, int] = {}
         self.inserted_by: dict[str, dict[str, list[DataFrame]]] = defaultdict(lambda: defaultdict(list))
         self.state_after: dict[str, dict[str, DataFrame]] = {}
         self._current, self._touched = "F00", set()
@@ -98,7 +100,7 @@ class Migration:
         self._seq += 1
         path = f"{self._root}/forumshift-{self.run_id}/{self._seq:03d}-{label}"
         df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def add_part(self, table: str, rows: DataFrame, stored_already: bool = False) -> DataFrame:
         stored = rows if stored_already else self._store(rows, table)
@@ -156,16 +158,32 @@ class Migration:
         # is the numbered view over that staged data
         res = insert_only_merge(self.tgt[table], source, keys, source_keys=source_keys, target_filter=scope,
                                 id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
-                                collation=collation, stage=self._stage_fn(table))
+                                collation=collation, stage=self._stage_fn(table),
+                                base_id=self._max_id(table, id_col))
+        self._advance(table, id_col, res.numbered)
         if table == "yaf_User":
             self._user_map = None
         return self.add_part(table, res.inserted, stored_already=id_col is not None and self.materialize)
 
     def append(self, table: str, source: DataFrame, id_col: str | None = None, id_order: Sequence | None = None):
         res = append(self.tgt[table], source, id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
-                     stage=self._stage_fn(table))
+                     stage=self._stage_fn(table), base_id=self._max_id(table, id_col))
+        self._advance(table, id_col, res.numbered)
         return self.add_part(table, res.inserted, stored_already=id_col is not None and self.materialize)
 
+    def _max_id(self, table: str, id_col: str | None) -> int | None:
+        """Highest id of ``table``: read once from the base table, then advanced by the
+        number of rows each statement numbered (ids are dense), so no statement rescans it."""
+        if id_col is None:
+            return None
+        if table not in self._max_ids:
+            self._max_ids[table] = max_id_value(self.tgt[table], id_col)
+        return self._max_ids[table]
+
+    def _advance(self, table: str, id_col: str | None, numbered: int | None) -> None:
+        if id_col is not None and numbered is not None:
+            self._max_ids[table] = self._max_ids[table] + numbered
+
     def _stage_fn(self, table: str):
         if not self.materialize:
             return None
