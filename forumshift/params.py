@@ -19,6 +19,8 @@ class RunParams:
     template_board_id: int = 1          # @tplBoardID
     tz_offset_min: int | None = None    # @TZOffsetMin; None -> server_tz_offset_minutes()
     run_ts: _dt.datetime | None = None  # GetUTCDate(), captured once per run (E14)
+    # The application names the source portal registers itself under, and the
+    # application name written into every migrated profile.
     app_names: tuple[str, ...] = ("DotNetNuke", "DNN")
     profile_application_name: str = "DotNetNuke"
 

@@ -240,4 +240,5 @@ def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Column] | N
 
 
 def empty(spark, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty table with real statistics (zero rows), so joins against it can broadcast."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job run by hand, once per forum module: no stream source, no
+watermark, window, state or late data appears in it (SURVEY 2.7).  Its repeatable parts
+-- insert-only merges keyed by lineage ids -- are exposed as batch operators
+(``forumshift.operators.merge``), which a ``foreachBatch`` sink could call, but no such
+streaming flow is built here because the reference has none to match.
+"""
