@@ -99,6 +99,11 @@ def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "LastTopicID", "LastMessageID", "LastUserID", "LastUserDisplayName")
 
 
+def _conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from forumshift.plans.report import conservation
+    return conservation(migration(spark, sf_dir, "F36"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "discover_boards": _discover,
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forum_access": _inserted(("F35",), "yaf_ForumAccess", ["GroupID", "ForumID", "AccessMaskID"]),
         "forum_rollup": _rollup,
         "surrogate_keys": _surrogate_keys,
+        "conservation_report": _conservation,
     }
 
 

@@ -56,11 +56,36 @@ class Numbered:
     count: int        # number of rows numbered (so the caller knows the new max id)
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_LITERAL_OFFSETS = 1000
+
+
+def estimated_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Partitions for the range shuffle, decided without running a job.
+
+    The bytes of the plan's leaves (file sizes of the scans) bound what flows into the
+    numbering far better than Catalyst's join estimate (a product of the sides without
+    CBO).  ~128 MB per partition, at least 1, at most ``spark.sql.shuffle.partitions`` --
+    the knob a cluster sizes for its largest shuffles.  Leaves of unknown size count as
+    one partition's worth.
+    """
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while it.hasNext():
+            raw = it.next().stats().sizeInBytes()
+            size = raw if isinstance(raw, int) else int(raw.toString())
+            total += size if size < (1 << 50) else target_bytes
+    except Exception:  # pragma: no cover - estimate unavailable
+        return cap
+    return max(1, min(cap, -(-total // target_bytes)))
+
+
 def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], base: Column | int = 0,
                 num_partitions: int | None = None,
                 stage: Callable[[DataFrame], DataFrame] | None = None) -> Numbered:
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or estimated_partitions(df)
     keys = [_as_col(c) for c in order_by]
     base_col = base if isinstance(base, Column) else F.lit(int(base))
 
@@ -83,13 +108,17 @@ def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], ba
     for part, cnt in counts:
         offsets[part] = total
         total += cnt
-    if offsets:
-        lookup = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
-        offset = F.element_at(lookup, F.col(_PART))
+    if len(offsets) <= MAX_LITERAL_OFFSETS:
+        lookup = (F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+                  if offsets else F.create_map().cast("map<int,bigint>"))
+        with_off = fixed.withColumn("_fs_off", F.coalesce(F.element_at(lookup, F.col(_PART)), F.lit(0).cast("bigint")))
     else:
-        offset = F.lit(0).cast("bigint")
-    out = fixed.withColumn(id_col, (base_col.cast("bigint") + offset + F.col(_POS) + F.lit(1)).cast("bigint"))
-    return Numbered(out.drop(_PART, _POS), total)
+        # many partitions: the offsets (one row per partition) are broadcast instead
+        table = df.sparkSession.createDataFrame(list(offsets.items()), f"{_PART} int, _fs_off bigint")
+        with_off = fixed.join(F.broadcast(table), _PART)
+    out = with_off.withColumn(id_col, (base_col.cast("bigint") + F.col("_fs_off") + F.col(_POS) + F.lit(1))
+                              .cast("bigint"))
+    return Numbered(out.drop(_PART, _POS, "_fs_off"), total)
 
 
 def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],

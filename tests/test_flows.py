@@ -156,3 +156,12 @@ def test_q8_attachment_authors_scoped(spark, small_run):
     assert scoped.count() == scoped.select("FileName", "MessageID").distinct().count()
     wide = _run(spark, "F31", params=dataclasses.replace(fixture_params(), board_scoped_attachment_authors=False))
     assert wide.inserted_rows("yaf_Attachment").count() >= scoped.count()
+
+
+def test_conservation_report_balances(small_run):
+    from forumshift.plans.report import conservation
+    rows = {r.Entity: r for r in conservation(small_run).collect()}
+    assert set(rows) == {"users", "categories", "forums", "topics", "first_posts", "replies"}
+    for r in rows.values():
+        assert r.SourceRows == r.MigratedRows + r.RejectedRows
+    assert rows["topics"].MigratedRows == small_run.tgt["yaf_Topic"].select("oTopicID").distinct().count()

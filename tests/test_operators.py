@@ -90,3 +90,21 @@ def test_product_join_paths_agree(spark):
     salted = product_join(big, small, ["BoardID"], max_broadcast_rows=1, salt_buckets=8)
     assert sorted(map(tuple, bcast.collect())) == sorted(map(tuple, salted.collect()))
     assert bcast.count() == 1000
+
+
+def test_collation_option_in_merge_keys(spark):
+    from forumshift.operators.merge import not_matched
+    tgt = spark.createDataFrame([("Alice",)], "Name string")
+    src = spark.createDataFrame([("alice ",), ("Bob",)], "Name string")
+    assert not_matched(src, tgt, ["Name"]).count() == 2                      # binary: no match
+    left = not_matched(src, tgt, ["Name"], collation="UTF8_LCASE_RTRIM")     # Q10 option
+    assert [r.Name for r in left.collect()] == ["Bob"]
+
+
+def test_not_in_is_null_aware(spark):
+    a = spark.createDataFrame([(1,), (2,), (None,)], "RoleID bigint")
+    no_null = spark.createDataFrame([(2,)], "RoleID bigint")
+    with_null = spark.createDataFrame([(2,), (None,)], "RoleID bigint")
+    assert sorted(r[0] for r in a.filter(~F.col("RoleID").isin(no_null)).collect()) == [1]
+    assert a.filter(~F.col("RoleID").isin(with_null)).count() == 0
+    assert a.filter(~F.col("RoleID").isin(no_null.limit(0))).count() == 3
