@@ -14,6 +14,7 @@ lookup step, like ``DECLARE @x = (SELECT ...)``.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections import defaultdict
@@ -83,7 +84,8 @@ class Migration:
         self._max_ids: dict[str, int] = {}
         self.inserted_by: dict[str, dict[str, list[DataFrame]]] = defaultdict(lambda: defaultdict(list))
         self.state_after: dict[str, dict[str, DataFrame]] = {}
-        self._current, self._touched = "F00", set()
+        self._ctx = threading.local()
+        self._lock = threading.Lock()
         self._user_map: DataFrame | None = None
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex[:12]
@@ -97,16 +99,18 @@ class Migration:
         pushdown and real size statistics."""
         if not self.materialize:
             return df
-        self._seq += 1
-        path = f"{self._root}/forumshift-{self.run_id}/{self._seq:03d}-{label}"
+        with self._lock:
+            self._seq += 1
+            seq = self._seq
+        path = f"{self._root}/forumshift-{self.run_id}/{seq:03d}-{label}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def add_part(self, table: str, rows: DataFrame, stored_already: bool = False) -> DataFrame:
         stored = rows if stored_already else self._store(rows, table)
         self.tgt.parts[table].append(stored)
-        self.inserted_by[self._current][table].append(stored)
-        self._touched.add(table)
+        self.inserted_by[self._ctx.current][table].append(stored)
+        self._ctx.touched.add(table)
         return stored
 
     def update(self, table: str, fn: Callable[[DataFrame], DataFrame], scope: str = "parts") -> None:
@@ -123,7 +127,7 @@ class Migration:
             for p in parts[1:]:
                 merged = merged.unionByName(p)
             self.tgt.parts[table] = [self._store(fn(merged), table)]
-        self._touched.add(table)
+        self._ctx.touched.add(table)
         if table == "yaf_User":
             self._user_map = None
 
@@ -202,16 +206,52 @@ class Migration:
         return self._user_map
 
     # ------------------------------------------------------------------ running
-    def run(self, upto: str | None = None) -> "Migration":
-        for fid, fn in flows():
+    def _exec(self, fid: str, fn: Callable[["Migration"], None]) -> None:
+        t0 = time.perf_counter()
+        self._ctx.current, self._ctx.touched = fid, set()
+        fn(self)
+        self.state_after[fid] = {t: self.tgt[t] for t in self._ctx.touched}
+        self.timings[fid] = round(time.perf_counter() - t0, 3)
+        with self._lock:
+            self.done.append(fid)
+
+    def run(self, upto: str | None = None, parallel: bool = False) -> "Migration":
+        """Run the flows in order up to ``upto`` (inclusive).
+
+        ``parallel``: after the board exists, three groups of statements touch disjoint
+        tables and read nothing the others write (SURVEY 3): the template lookups, the
+        group/user chain and the forum tree.  They are submitted from three threads --
+        Spark runs jobs of one session concurrently -- and joined before the content flows.
+        Results are identical to the sequential order.
+        """
+        order = flows()
+        if parallel and upto is None:
+            fns = dict(order)
+            for fid in ("F01", "F02"):
+                if fid not in self.done:
+                    self._exec(fid, fns[fid])
+            lanes = [[f for f in lane if f not in self.done] for lane in PARALLEL_LANES]
+            errors: list[BaseException] = []
+
+            def work(lane: list[str]) -> None:
+                try:
+                    for f in lane:
+                        self._exec(f, fns[f])
+                except BaseException as e:  # surfaced below, after all lanes stop
+                    errors.append(e)
+            threads = [threading.Thread(target=work, args=(lane,)) for lane in lanes if lane]
+            for t in threads:
+                t.start()
+            for t in threads:
+                t.join()
+            if errors:
+                raise errors[0]
+        for fid, fn in order:
             if fid in self.done:
+                if fid == upto:
+                    break
                 continue
-            t0 = time.perf_counter()
-            self._current, self._touched = fid, set()
-            fn(self)
-            self.state_after[fid] = {t: self.tgt[t] for t in self._touched}
-            self.timings[fid] = round(time.perf_counter() - t0, 3)
-            self.done.append(fid)
+            self._exec(fid, fn)
             if fid == upto:
                 break
         return self
@@ -230,6 +270,14 @@ class Migration:
         return out
 
 
+# Statement groups with disjoint target tables and no reads of each other's output.
+PARALLEL_LANES = (
+    ("F03", "F07", "F08", "F09", "F10", "F11", "F12", "F13"),
+    ("F04", "F05", "F06", "F14", "F15", "F16", "F17", "F18", "F19", "F20", "F21", "F22", "F23", "F24"),
+    ("F25", "F26", "F27"),
+)
+
+
 def flows() -> list[tuple[str, Callable[[Migration], None]]]:
     from . import board, content, forums, resync, subscriptions, users
     return [
