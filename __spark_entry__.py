@@ -10,6 +10,7 @@ DuckDB SQL over the same tables (``forumshift/oracle.py``).
 
 from __future__ import annotations
 
+import dataclasses
 import tempfile
 from collections.abc import Callable
 
@@ -34,12 +35,20 @@ def _checkpoint_fallback(spark: SparkSession) -> str | None:
     return tempfile.mkdtemp(prefix="forumshift-ckpt-")
 
 
-def migration(spark: SparkSession, sf_dir: str, upto: str) -> Migration:
-    key = (id(spark), sf_dir)
+# Option sets of the registered variants (literal run = "literal").
+VARIANTS = {
+    "literal": {},
+    "full_depth": {"forum_max_depth": 2, "match_truncated_forum_names": True},   # Q3 + Q4 options
+}
+
+
+def migration(spark: SparkSession, sf_dir: str, upto: str, variant: str = "literal") -> Migration:
+    key = (id(spark), sf_dir, variant)
     m = _RUNS.get(key)
     if m is None:
         apply_run_conf(spark)
-        m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), fixture_params(),
+        params = dataclasses.replace(fixture_params(), **VARIANTS[variant])
+        m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params,
                       checkpoint_fallback=_checkpoint_fallback(spark))
         _RUNS[key] = m
     if upto not in m.done:
@@ -99,6 +108,17 @@ def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "LastTopicID", "LastMessageID", "LastUserID", "LastUserDisplayName")
 
 
+def _full_depth_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 option: the child-forum hop repeated (depth 3 migrated), names matched as stored."""
+    return migration(spark, sf_dir, "F27", "full_depth").state("F27", "yaf_Forum").select(*FORUM_COLS)
+
+
+def _published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the message table as published -- lineage column dropped."""
+    m = migration(spark, sf_dir, "F36")
+    return m.published()["yaf_Message"].select(*[c for c in MESSAGE_COLS if c != "oContentID"])
+
+
 def _conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from forumshift.plans.report import conservation
     return conservation(migration(spark, sf_dir, "F36"))
@@ -146,6 +166,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forum_rollup": _rollup,
         "surrogate_keys": _surrogate_keys,
         "conservation_report": _conservation,
+        "forum_tree_full_depth": _full_depth_tree,
+        "published_messages": _published_messages,
     }
 
 
