@@ -3,9 +3,11 @@
 The reference ships no data, so its inputs are derived from the driver's generated tables
 (``customer``, ``conversations``, ``events``, ``pages``, ``part``, ``supplier``, ``nation``,
 ``region``).  Every mapping keeps all rows of the driver table it reads: moduli below only
-*assign* rows to forums, users or boards; they never select a subset.  Tiny configuration
-tables (property definitions, list entries, the template board's groups/ranks/masks and its
-guest user) are literal rows, as they are configuration rather than data.
+*assign* rows or values (to forums, users, boards, or NULL for an absent property); they never
+select a subset.  The only row filters are semantic: the first turn of a conversation opens
+the topic, later turns are its replies.  Tiny configuration tables (property definitions,
+list entries, the template board's groups/ranks/masks and its guest user) are literal rows,
+as they are configuration rather than data.
 
 The same mapping is written in SQL in ``forumshift/oracle.py`` for the DuckDB oracle.
 """
@@ -95,27 +97,32 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                                           c("c_name").alias("UserName"))
 
     cid = c("c_custkey")
-    tz = customer.filter(cid % 2 == 0).select(
+    # One row per customer and property; a property a user does not have is a NULL value,
+    # which the flows treat exactly like a missing row (left join + IsNull default).
+    tz = customer.select(
         cid.alias("UserID"), F.lit(1).alias("PropertyDefinitionID"),
-        F.when(cid % 10 == 4, F.lit("")).otherwise(((cid % 5 - 2) * 60).cast("string")).alias("PropertyValue"),
+        F.when(cid % 2 == 0, F.when(cid % 10 == 4, F.lit("")).otherwise(((cid % 5 - 2) * 60).cast("string")))
+         .alias("PropertyValue"),
         F.lit(None).cast("string").alias("PropertyText"))
-    bd = customer.filter(cid % 3 == 0).select(
+    bd = customer.select(
         cid.alias("UserID"), F.lit(2).alias("PropertyDefinitionID"),
-        F.concat((1950 + cid % 50).cast("string"), F.lit("-"), F.lpad((1 + cid % 12).cast("string"), 2, "0"),
-                 F.lit("-"), F.lpad((1 + cid % 28).cast("string"), 2, "0"), F.lit("T00:00:00")).alias("PropertyValue"),
+        F.when(cid % 3 == 0, F.concat((1950 + cid % 50).cast("string"), F.lit("-"),
+                                      F.lpad((1 + cid % 12).cast("string"), 2, "0"), F.lit("-"),
+                                      F.lpad((1 + cid % 28).cast("string"), 2, "0"), F.lit("T00:00:00")))
+         .alias("PropertyValue"),
         F.lit(None).cast("string").alias("PropertyText"))
     cn = customer.select(cid.alias("UserID"), F.lit(3).alias("PropertyDefinitionID"),
                          F.lit(None).cast("string").alias("PropertyValue"),
                          F.concat(F.lit("Nation "), c("c_nationkey").cast("string")).alias("PropertyText"))
-    rg = customer.filter(cid % 2 == 1).select(cid.alias("UserID"), F.lit(4).alias("PropertyDefinitionID"),
-                                               F.lit(None).cast("string").alias("PropertyValue"),
-                                               c("c_mktsegment").alias("PropertyText"))
+    rg = customer.select(cid.alias("UserID"), F.lit(4).alias("PropertyDefinitionID"),
+                         F.lit(None).cast("string").alias("PropertyValue"),
+                         F.when(cid % 2 == 1, c("c_mktsegment")).alias("PropertyText"))
     cy = customer.select(cid.alias("UserID"), F.lit(5).alias("PropertyDefinitionID"),
                          F.concat(F.lit("City "), (cid % 97).cast("string")).alias("PropertyValue"),
                          F.lit(None).cast("string").alias("PropertyText"))
-    ws = customer.filter(cid % 4 == 0).select(
+    ws = customer.select(
         cid.alias("UserID"), F.lit(6).alias("PropertyDefinitionID"),
-        F.concat(F.lit("https://example.org/u/"), cid.cast("string")).alias("PropertyValue"),
+        F.when(cid % 4 == 0, F.concat(F.lit("https://example.org/u/"), cid.cast("string"))).alias("PropertyValue"),
         F.lit(None).cast("string").alias("PropertyText"))
     src["user_profile"] = tz.unionByName(bd).unionByName(cn).unionByName(rg).unionByName(cy).unionByName(ws)
 
@@ -247,7 +254,8 @@ def fixture_targets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
          (2, b, "5e6f7a8b-9c0d-4e1f-a2b3-c4d5e6f7a8b9", "admin", "Administrator", "na", "admin@example.org", 0, 1, 99)],
         "UserID bigint, BoardID bigint, ProviderUserKey string, Name string, DisplayName string, Password string, "
         "Email string, NumPosts int, RankID bigint, Flags int").withColumns({"Joined": joined, "LastVisit": joined})
-    board2 = customer.filter(c("c_custkey") % 10 == 0).select(
+    # every portal user already has an account on board 2 (same names on another board: Q8)
+    board2 = customer.select(
         (F.lit(1_000_000_000) + c("c_custkey")).alias("UserID"), F.lit(2).alias("BoardID"),
         c("c_name").alias("Name"), c("c_name").alias("DisplayName"), F.lit("na").alias("Password"),
         F.lit(0).alias("NumPosts"), F.lit(2).alias("Flags"), joined.alias("Joined"), joined.alias("LastVisit"))
