@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import dataclasses
 import tempfile
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from forumshift.session import apply_run_conf, checkpoint_dir
 from forumshift.sources.driver_fixture import fixture_params, fixture_sources, fixture_targets
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-_RUNS: dict[tuple[int, str], Migration] = {}
+_RUNS: dict[tuple, Migration] = {}
+_LOCK = threading.RLock()
 
 
 def _checkpoint_fallback(spark: SparkSession) -> str | None:
@@ -44,15 +46,16 @@ VARIANTS = {
 
 def migration(spark: SparkSession, sf_dir: str, upto: str, variant: str = "literal") -> Migration:
     key = (id(spark), sf_dir, variant)
-    m = _RUNS.get(key)
-    if m is None:
-        apply_run_conf(spark)
-        params = dataclasses.replace(fixture_params(), **VARIANTS[variant])
-        m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params,
-                      checkpoint_fallback=_checkpoint_fallback(spark))
-        _RUNS[key] = m
-    if upto not in m.done:
-        m.run(upto=upto)
+    with _LOCK:   # one run per key, advanced by one caller at a time
+        m = _RUNS.get(key)
+        if m is None:
+            apply_run_conf(spark)
+            params = dataclasses.replace(fixture_params(), **VARIANTS[variant])
+            m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params,
+                          checkpoint_fallback=_checkpoint_fallback(spark))
+            _RUNS[key] = m
+        if upto not in m.done:
+            m.run(upto=upto)
     return m
 
 
