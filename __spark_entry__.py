@@ -55,7 +55,7 @@ def migration(spark: SparkSession, sf_dir: str, upto: str, variant: str = "liter
                           checkpoint_fallback=_checkpoint_fallback(spark))
             _RUNS[key] = m
         if upto not in m.done:
-            m.run(upto=upto)
+            m.run(upto=upto, parallel=True)
     return m
 
 

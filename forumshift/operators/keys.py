@@ -60,16 +60,20 @@ TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_LITERAL_OFFSETS = 1000
 
 
+MAX_ID_PARTITIONS = 200_000
+
+
 def estimated_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Partitions for the range shuffle, decided without running a job.
 
     The bytes of the plan's leaves (file sizes of the scans) bound what flows into the
     numbering far better than Catalyst's join estimate (a product of the sides without
-    CBO).  ~128 MB per partition, at least 1, at most ``spark.sql.shuffle.partitions`` --
-    the knob a cluster sizes for its largest shuffles.  Leaves of unknown size count as
-    one partition's worth.
+    CBO).  ~128 MB per partition, at least 1, at most ``MAX_ID_PARTITIONS``; independent of
+    ``spark.sql.shuffle.partitions``, which clusters often leave at its default and let AQE
+    coalesce -- a range shuffle cannot be coalesced without changing the numbering.
+    Leaves of unknown size count as one partition's worth.
     """
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cap = MAX_ID_PARTITIONS
     try:
         it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
         total = 0
@@ -78,7 +82,7 @@ def estimated_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYT
             size = raw if isinstance(raw, int) else int(raw.toString())
             total += size if size < (1 << 50) else target_bytes
     except Exception:  # pragma: no cover - estimate unavailable
-        return cap
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(cap, -(-total // target_bytes)))
 
 
@@ -90,8 +94,9 @@ def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], ba
     base_col = base if isinstance(base, Column) else F.lit(int(base))
 
     # phase 1: range partitions in key order, each sorted, with the row's place in it
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
+    # (a single partition needs no sampled bounds: a plain exchange to one partition)
+    parted = df.repartition(1) if n == 1 else df.repartitionByRange(n, *keys)
+    ranged = (parted.sortWithinPartitions(*keys)
                 .withColumn(_PART, F.spark_partition_id())
                 .withColumn(_POS, F.monotonically_increasing_id()
                             - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))

@@ -225,7 +225,10 @@ class Migration:
         Results are identical to the sequential order.
         """
         order = flows()
-        if parallel and upto is None:
+        ids = [f for f, _ in order]
+        lane_flows = {f for lane in PARALLEL_LANES for f in lane}
+        after_lanes = upto is None or ids.index(upto) >= max(ids.index(f) for f in lane_flows)
+        if parallel and after_lanes:
             fns = dict(order)
             for fid in ("F01", "F02"):
                 if fid not in self.done:
