@@ -176,3 +176,24 @@ def test_parallel_lanes_equal_sequential(spark, small_run):
         a = sorted(map(tuple, small_run.tgt[table].drop("FileData", "AvatarImage").collect()), key=repr)
         b = sorted(map(tuple, par.tgt[table].drop("FileData", "AvatarImage").collect()), key=repr)
         assert a == b, table
+
+
+def test_intent_options_q2_q5_q6_q11(spark, small_run):
+    opts = dataclasses.replace(fixture_params(), exclude_portal_roles=False, require_posts=True,
+                               replies_to_first_post_only=False, source_tz="Europe/Berlin")
+    m = _run(spark, "F30", params=opts)
+    # Q2: the README reading keeps roles of the module's own portal too -> more groups
+    assert m.board_rows("yaf_Group").count() > small_run.board_rows("yaf_Group").count()
+    # Q6: only portal users with posts become users (the cloned guest aside)
+    users = m.inserted_in("yaf_User", "F16")
+    assert users.count() > 0 and users.filter("NumPosts <= 0").count() == 0
+    # Q11: Europe/Berlin is UTC+1 in January, the same as the literal constant -60 minutes
+    def posted(run):
+        return sorted((r.oContentID, r.Posted) for r in run.inserted_in("yaf_Message", "F29").collect())
+    mine = dict(posted(m))
+    ref = dict(posted(small_run))
+    common = set(mine) & set(ref)
+    assert common and all(mine[k] == ref[k] for k in common)
+    # Q5: on a first run, joining every message of the topic equals joining the first post
+    per_topic_replies = m.inserted_in("yaf_Message", "F30").groupBy("oContentID").count()
+    assert per_topic_replies.filter("count > 1").count() == 0
