@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lowered, name_guid, random_guid
 from ..operators.lookups import resolve
+from ..schemas import ID_COLUMNS
 from .migration import Migration, MigrationError
 
 
@@ -48,7 +49,12 @@ def resolve_run_scalars(m: Migration) -> None:
         "existing": m.tgt["yaf_Board"].filter(_col("oModuleID") == mod).select(F.count(F.lit(1))),
         "template": m.tgt["yaf_Board"].filter(_col("BoardID") == F.lit(p.template_board_id)).select(F.count(F.lit(1))),
     }
+    # highest existing id of every target, in the same job (later statements advance them)
+    for table, id_col in ID_COLUMNS.items():
+        lookups[f"max_id:{table}"] = m.tgt[table].select(F.coalesce(F.max(id_col).cast("bigint"), F.lit(0).cast("bigint")))
     s = resolve(m.spark, lookups)
+    for table in ID_COLUMNS:
+        m._max_ids.setdefault(table, int(s.pop(f"max_id:{table}")))
     if s["portal_id"] is None:
         raise MigrationError(f"module {p.module_id} not found (set RunParams.module_id)")
     if not s["placements"]:
