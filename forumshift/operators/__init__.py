@@ -1,7 +1,7 @@
 """Reusable relational operators."""
 
 from .eav import duplicate_properties, pivot_properties  # noqa: F401
-from .joins import product_join  # noqa: F401
+from .joins import not_in, product_join  # noqa: F401
 from .keys import assign_ids, crosswalk, max_id  # noqa: F401
 from .lineage import add_lineage, drop_lineage  # noqa: F401
 from .lookups import resolve  # noqa: F401

@@ -31,3 +31,22 @@ def product_join(big: DataFrame, small: DataFrame, on: Sequence[str], max_broadc
     salted_small = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
     salted_big = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets)))
     return salted_big.join(salted_small, list(on) + [_SALT], "inner").drop(_SALT)
+
+
+def not_in(left: DataFrame, column: str, values: DataFrame, value_col: str | None = None) -> DataFrame:
+    """SQL ``column NOT IN (SELECT value_col ...)`` at any size.
+
+    Spark plans the null-aware anti join only as a broadcast; beyond the broadcast bound it
+    falls back to a nested-loop join.  The SQL rules are applied explicitly instead, after
+    one small aggregate over the list: an empty list keeps every row (NULL keys included),
+    a NULL in the list keeps none, otherwise rows with a NULL key drop and the rest is an
+    ordinary anti join, which Catalyst may broadcast or sort-merge.
+    """
+    value_col = value_col or column
+    v = values.select(F.col(value_col).alias("_fs_v"))
+    stats = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_fs_v").isNull(), 1)).alias("nulls")).first()
+    if stats["n"] == 0:
+        return left
+    if stats["nulls"] > 0:
+        return left.limit(0)
+    return left.filter(F.col(column).isNotNull()).join(v.distinct(), F.col(column) == F.col("_fs_v"), "left_anti")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lowered, name_guid, random_guid
+from ..operators.joins import not_in
 from ..operators.lookups import resolve
 from ..schemas import ID_COLUMNS
 from .migration import Migration, MigrationError
@@ -106,8 +107,7 @@ def clone_default_groups(m: Migration) -> None:
 
 def groups_from_roles(m: Migration) -> None:
     """roles with a permission on the module (semi join), minus -- literally, Q2 -- every
-    role of the module's portal (``NOT IN``: a null-aware anti join, planned as a broadcast
-    of the portal's role ids)."""
+    role of the module's portal (``NOT IN`` with its NULL rules, ``joins.not_in``)."""
     src, mod = m.src, F.lit(m.p.module_id)
     roles = src["roles"]
     permitted = src["module_permission"].filter(_col("ModuleID") == mod).select("RoleID")
@@ -116,7 +116,7 @@ def groups_from_roles(m: Migration) -> None:
         portal_roles = (roles.join(src["portals"].select("PortalID"), "PortalID")
                              .join(src["modules"].filter(_col("ModuleID") == mod).select("PortalID"), "PortalID")
                              .select("RoleID"))
-        cand = cand.filter(~_col("RoleID").isin(portal_roles))
+        cand = not_in(cand, "RoleID", portal_roles)
     rows = cand.select(
         F.lit(m.board_id).cast("bigint").alias("BoardID"), _col("RoleName").alias("Name"), F.lit(0).alias("Flags"),
         F.lit(0).alias("PMLimit"), F.lit(None).cast("string").alias("Style"), F.lit(100).alias("SortOrder"),

@@ -108,3 +108,13 @@ def test_not_in_is_null_aware(spark):
     assert sorted(r[0] for r in a.filter(~F.col("RoleID").isin(no_null)).collect()) == [1]
     assert a.filter(~F.col("RoleID").isin(with_null)).count() == 0
     assert a.filter(~F.col("RoleID").isin(no_null.limit(0))).count() == 3
+
+
+def test_not_in_operator_matches_sql_rules(spark):
+    from forumshift.operators import not_in
+    a = spark.createDataFrame([(1,), (2,), (None,)], "RoleID bigint")
+    no_null = spark.createDataFrame([(2,), (2,)], "RoleID bigint")
+    with_null = spark.createDataFrame([(2,), (None,)], "RoleID bigint")
+    for values in (no_null, with_null, no_null.limit(0)):
+        want = sorted(map(repr, a.filter(~F.col("RoleID").isin(values)).collect()))
+        assert sorted(map(repr, not_in(a, "RoleID", values).collect())) == want
