@@ -197,3 +197,30 @@ def test_intent_options_q2_q5_q6_q11(spark, small_run):
     # Q5: on a first run, joining every message of the topic equals joining the first post
     per_topic_replies = m.inserted_in("yaf_Message", "F30").groupBy("oContentID").count()
     assert per_topic_replies.filter("count > 1").count() == 0
+
+
+def _rerun_replies(spark, base_run, params):
+    """Run F30 again on top of a finished run, with one new reply in a topic that has replies."""
+    from forumshift.plans import content
+    src = dict(base_run.src)
+    topic = (base_run.tgt["yaf_Message"].filter("Position = 1").join(
+        base_run.tgt["yaf_Topic"].select("TopicID", "oTopicID"), "TopicID").select("oTopicID").first()[0])
+    first = src["af_content"].filter(F.col("ContentID") == topic * 100)
+    new_content = first.withColumn("ContentID", F.lit(topic * 100 + 50).cast("bigint"))
+    src["af_content"] = src["af_content"].unionByName(new_content)
+    new_reply = spark.createDataFrame([(topic * 100 + 50, topic, topic * 100 + 50, 0, 1)], src["af_replies"].schema)
+    src["af_replies"] = src["af_replies"].unionByName(new_reply)
+    m2 = Migration(spark, src, {n: base_run.tgt[n] for n in base_run.tgt.base}, params)
+    m2.board_id, m2.scalars, m2._max_ids = base_run.board_id, base_run.scalars, dict(base_run._max_ids)
+    m2._exec("F30", content.replies)
+    existing = base_run.tgt["yaf_Message"].join(base_run.tgt["yaf_Topic"].filter(F.col("oTopicID") == topic),
+                                                "TopicID", "left_semi").count()
+    return m2.inserted_in("yaf_Message", "F30"), existing
+
+
+def test_q5_rerun_with_new_replies(spark, small_run):
+    intent, _ = _rerun_replies(spark, small_run, fixture_params())
+    assert intent.count() == 1                       # the new reply only; old ones never twice (D1)
+    literal, existing = _rerun_replies(spark, small_run,
+                                       dataclasses.replace(fixture_params(), replies_to_first_post_only=False))
+    assert existing >= 2 and literal.count() == existing   # one copy per message of the topic (Q5)
