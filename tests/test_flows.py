@@ -224,3 +224,17 @@ def test_q5_rerun_with_new_replies(spark, small_run):
     literal, existing = _rerun_replies(spark, small_run,
                                        dataclasses.replace(fixture_params(), replies_to_first_post_only=False))
     assert existing >= 2 and literal.count() == existing   # one copy per message of the topic (Q5)
+
+
+def test_q17_statistics_update_pre_existing_topics(spark, small_run):
+    from forumshift.plans import content
+    tgt = {n: small_run.tgt[n] for n in small_run.tgt.base}
+    tid = tgt["yaf_Topic"].select("TopicID").first()[0]
+    tgt["yaf_Topic"] = tgt["yaf_Topic"].withColumn(
+        "NumPosts", F.when(F.col("TopicID") == tid, F.lit(0)).otherwise(F.col("NumPosts")))
+    m2 = Migration(spark, small_run.src, tgt, fixture_params())
+    m2.board_id, m2.scalars, m2._max_ids = small_run.board_id, small_run.scalars, dict(small_run._max_ids)
+    m2._exec("F32", content.topic_statistics)      # the topic is in the base now: whole-table path
+    got = m2.tgt["yaf_Topic"].filter(F.col("TopicID") == tid).select("NumPosts").first()[0]
+    assert got == small_run.tgt["yaf_Message"].filter(F.col("TopicID") == tid).count()
+    assert m2.tgt["yaf_Topic"].count() == small_run.tgt["yaf_Topic"].count()
