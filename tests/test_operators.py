@@ -118,3 +118,20 @@ def test_not_in_operator_matches_sql_rules(spark):
     for values in (no_null, with_null, no_null.limit(0)):
         want = sorted(map(repr, a.filter(~F.col("RoleID").isin(values)).collect()))
         assert sorted(map(repr, not_in(a, "RoleID", values).collect())) == want
+
+
+def test_assign_ids_broadcast_offsets_path(spark, monkeypatch):
+    from forumshift.operators import keys
+    monkeypatch.setattr(keys, "MAX_LITERAL_OFFSETS", 2)      # force the broadcast-table path
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "user_id")
+    got = keys.assign_ids(ev, "id", ["user_id", "event_id"], base=3, num_partitions=6)
+    want = ev.withColumn("want", F.row_number().over(Window.orderBy("user_id", "event_id")) + 3)
+    assert got.join(want, ["event_id"]).filter("id != want").count() == 0
+    assert got.count() == ev.count()
+
+
+def test_estimated_partitions_follow_input_bytes(spark):
+    from forumshift.operators.keys import estimated_partitions
+    small = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    assert estimated_partitions(small) == 1
+    assert estimated_partitions(small, target_bytes=1024) > 1     # ~20 KB of input at 1 KB per partition
