@@ -127,8 +127,17 @@ def _conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conservation(migration(spark, sf_dir, "F36"))
 
 
+try:   # the training-data operators are an optional part of the library
+    from forumshift.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("forumshift.llm", "corpus_pipeline"):
+        raise
+    _llm = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **(_llm.queries() if _llm else {}),
         "discover_boards": _discover,
         "create_board": _state("F02", "yaf_Board", ["BoardID", "Name", "AllowThreaded", "MembershipAppName",
                                                     "RolesAppName", "oModuleID"]),
@@ -175,7 +184,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {**ORACLE, **(_llm.oracle_sql() if _llm else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
