@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumshift.llm.shipping import arrow_map
 from forumshift.llm.staging import stage
 
 
@@ -67,7 +68,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     empty result.
     """
     edges = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u != v").distinct()
-    edges = edges.mapInArrow(_forest, edges.schema)
+    edges = arrow_map(edges, _forest, edges.schema)
     edges = stage(edges.distinct(), f"{label}-edges")
     mark = None
     while True:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumshift.llm.components import components
+from forumshift.llm.shipping import arrow_map
 from forumshift.llm.staging import stage
 from forumshift.llm.wordhash import digest, mix, shingle_sets
 
@@ -156,7 +157,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     # where a text is found again: by id, or by its own hash if it has none
     texts = texts.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("row"), "text")
-    signed = stage(texts.mapInArrow(_sign(width), _SIGNED), "minhash-signed")
+    signed = stage(arrow_map(texts, _sign(width), _SIGNED), "minhash-signed")
 
     classes = signed.filter("cls IS NOT NULL").groupBy("cls").agg(
         F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
@@ -209,6 +210,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _read_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(cls, shingles) of the wanted classes, from one text of each; texts cross the network once."""
     rows = texts.join(wanted.hint("shuffle_hash"), "row").select("cls", "text")
-    sets = rows.mapInArrow(_sets(width), T.StructType([
+    sets = arrow_map(rows, _sets(width), T.StructType([
         T.StructField("cls", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))]))
     return stage(sets, "minhash-sets")

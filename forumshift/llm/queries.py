@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from forumshift.llm import minhash
+from forumshift.llm import decontaminate, minhash, pii
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +19,30 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, width=2, percent=80).drop("cls")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(_table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = ("email", "ip", "card", "phone")
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)) for k in base]
+    counts = [(F.size("spans") - n).cast("long").alias(f"n_{k}") for n, k in zip(counts, base)]
+    own = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return found.select("doc_id", *counts, F.sha2(joined(own), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op9_pii": op9_pii}
 
 
 def oracle_sql() -> dict[str, str]:
