@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumshift.llm import decontaminate, minhash, pii
+from forumshift.llm import decontaminate, minhash, packing, pii, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,20 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2, keep_ids=False)
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_store.read_store(token_store.write_store(docs, _vocabulary("byte_bpe_50k.json"), end_id=0))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +56,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op9_pii": op9_pii}
+    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op5_packing": op5_packing,
+            "op9_pii": op9_pii, "op10_token_store": op10_token_store}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -26,7 +26,7 @@ _STEP = _U(int(_rng.integers(1, 1 << 63)) | 1)
 _POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, CHUNK_BYTES + 1)
@@ -82,7 +82,7 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     after[:-1] = is_word[1:]
     after[cuts[cuts > 0] - 1] = False
     ends = np.flatnonzero(is_word & ~after) + 1
-    up, down = _powers(len(buf) + 1)
+    up, down = powers(len(buf) + 1)
     total = np.empty(len(buf) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
