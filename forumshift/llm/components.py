@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,28 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              schema=schema)
 
 
+def star(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
+    """Least reachable index of each of n nodes under the links (one[k], two[k]), in memory."""
+    low = np.arange(n)
+    while len(one):
+        least = np.minimum(low[one], low[two])
+        was = low.copy()
+        np.minimum.at(low, one, least)
+        np.minimum.at(low, two, least)
+        low = low[low]
+        if (low == was).all():
+            break
+    return low
+
+
+def name_components(classes: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
+    """(cls, component_id): the least id of each class's component."""
+    named = classes.select("cls", id_col).join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    named = named.withColumn("root", F.coalesce("root", "cls"))
+    least = named.groupBy("root").agg(F.min(id_col).alias("component_id"))
+    return named.join(least, "root").select("cls", "component_id")
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large: neighbours above a node hang on its minimum; small: those below it do."""
     if large:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumshift.llm import decontaminate, minhash, packing, pii, token_store
+from forumshift.llm import chat, decontaminate, embeddings, licenses, minhash, packing, pii, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,28 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_store(token_store.write_store(docs, _vocabulary("byte_bpe_50k.json"), end_id=0))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2, numPartitions=1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(marks).alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    got = chat.read_back(chat.examples(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("losses", "")
+    return got.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+                      F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                      F.col("formatted_chars").cast("long").alias("formatted_chars"))
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +79,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op5_packing": op5_packing,
+            "op6_embeddings": op6_embeddings, "op7_chat": op7_chat, "op8_licenses": op8_licenses,
             "op9_pii": op9_pii, "op10_token_store": op10_token_store}
 
 

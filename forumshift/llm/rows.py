@@ -56,3 +56,15 @@ def rewrite_text(df: DataFrame, text_col: str, make: Callable[[], Callable[[str
                 yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
     return arrow_map(df, run, out)
+
+
+def keep_rows(df: DataFrame, text_col: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
+    """The rows of ``df`` for which the function of the text column gives true."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = make()
+        for b in batches:
+            yield b.filter(mask(b.column(at)))
+
+    return arrow_map(df, run, df.schema)

@@ -63,12 +63,14 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of every word of consecutive rows, in order."""
+def words_at(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end, hash) of every word of consecutive rows, in order; positions count from
+    the first row's first byte."""
     base = offsets[0]
     buf = raw[base:offsets[-1]]
     if not len(buf):
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, np.uint64)
     is_word = _WORD[buf]
     cuts = offsets[:-1] - base
     cuts = cuts[cuts < len(buf)]
@@ -87,7 +89,13 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     total[0] = 0
     np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * down[starts])
-    return np.searchsorted(offsets - base, starts, side="right") - 1, hashes
+    return np.searchsorted(offsets - base, starts, side="right") - 1, starts, ends, hashes
+
+
+def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every word of consecutive rows, in order."""
+    row, _, _, hashes = words_at(raw, offsets)
+    return row, hashes
 
 
 def shingle_sets(column: pa.Array, width: int) -> Iterator[tuple[int, list[np.ndarray]]]:
