@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumshift.llm import chat, decontaminate, embeddings, licenses, minhash, packing, pii, token_store
+from forumshift.llm import chat, decontaminate, embeddings, licenses, lm_score, minhash, packing, pii, quality, token_store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,28 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_score.score(_table(spark, sf_dir, "documents"))
+    per_word = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).otherwise(0.0)
+    return found.withColumn("per_word", per_word)
+
+
+def held_out(doc_id):
+    """One document in five, by its id: never learned from."""
+    return F.crc32(doc_id.cast("string")) % 5 == 0
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.Model:
+    return quality.fit(docs, _table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = quality.scores(docs, quality_model(spark, sf_dir, docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -78,7 +100,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op5_packing": op5_packing,
+    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op3_lm_score": op3_lm_score, "op4_quality": op4_quality,
+            "op5_packing": op5_packing,
             "op6_embeddings": op6_embeddings, "op7_chat": op7_chat, "op8_licenses": op8_licenses,
             "op9_pii": op9_pii, "op10_token_store": op10_token_store}
 
