@@ -37,7 +37,7 @@ SIDE = 32                      # classes, and members of a class
 WORDS = SIDE * SIDE            # numbers a word can have; WORDS itself is padding
 BUCKETS = 64
 REACH, WIDTH, ROUNDS, MASKED = 2, 24, 2, 8
-_RATE, _STEP_WORDS, _BLOCKS, _FAN = 0.15, 2048, 32, 1024
+_RATE, _STEP_WORDS, _BLOCKS, _FAN = 2.0, 1024, 32, 1024
 _OFFSETS = [k for k in range(-REACH, REACH + 1) if k]
 _COUNTED = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
 
