@@ -48,18 +48,18 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), end_id=2, keep_ids=False)
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2, keep_ids=False)
 
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return token_store.read_store(token_store.write_store(docs, _vocabulary("byte_bpe_50k.json"), end_id=0))
+    return token_store.read_store(token_store.write_store(docs, vocabulary("byte_bpe_50k.json"), end_id=0))
 
 
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +99,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op3_lm_score": op3_lm_score, "op4_quality": op4_quality,
+    return {"pipeline": pipeline, "op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op3_lm_score": op3_lm_score, "op4_quality": op4_quality,
             "op5_packing": op5_packing,
             "op6_embeddings": op6_embeddings, "op7_chat": op7_chat, "op8_licenses": op8_licenses,
             "op9_pii": op9_pii, "op10_token_store": op10_token_store}
