@@ -11,17 +11,18 @@ DuckDB SQL over the same tables (``forumshift/oracle.py``).
 from __future__ import annotations
 
 import dataclasses
-import tempfile
 import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumshift.operators.eav import duplicate_properties
 from forumshift.operators.keys import assign_ids
 from forumshift.oracle import ORACLE
 from forumshift.plans.discovery import discover_boards
 from forumshift.plans.migration import Migration
+from forumshift.schemas import LINEAGE, TARGETS
 from forumshift.session import apply_run_conf, checkpoint_dir
 from forumshift.sources.driver_fixture import fixture_params, fixture_sources, fixture_targets
 
@@ -30,29 +31,23 @@ _RUNS: dict[tuple, Migration] = {}
 _LOCK = threading.RLock()
 
 
-def _checkpoint_fallback(spark: SparkSession) -> str | None:
-    """Only when the session names no shared folder (local runs) is a scratch one used."""
-    if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None):
-        return None
-    return tempfile.mkdtemp(prefix="forumshift-ckpt-")
-
-
 # Option sets of the registered variants (literal run = "literal").
 VARIANTS = {
     "literal": {},
-    "full_depth": {"forum_max_depth": 2, "match_truncated_forum_names": True},   # Q3 + Q4 options
+    "full_depth": {"forum_full_depth": True},                    # Q3 + Q4
+    "collated": {"name_collation": "UTF8_LCASE_RTRIM"},          # Q10
+    "server_offset": {"tz_offset_min": None},                    # E3: the machine's own offset
 }
 
 
 def migration(spark: SparkSession, sf_dir: str, upto: str, variant: str = "literal") -> Migration:
-    key = (id(spark), sf_dir, variant)
+    key = (spark.sparkContext.applicationId, sf_dir, variant)
     with _LOCK:   # one run per key, advanced by one caller at a time
         m = _RUNS.get(key)
         if m is None:
             apply_run_conf(spark)
             params = dataclasses.replace(fixture_params(), **VARIANTS[variant])
-            m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params,
-                          checkpoint_fallback=_checkpoint_fallback(spark))
+            m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params)
             _RUNS[key] = m
         if upto not in m.done:
             m.run(upto=upto, parallel=True)
@@ -65,28 +60,47 @@ def _state(fid: str, table: str, cols: list) -> Callable[[SparkSession, str], Da
     return q
 
 
-def _inserted(fids: tuple[str, ...], table: str, cols: list) -> Callable[[SparkSession, str], DataFrame]:
+def _inserted(fids: tuple[str, ...], table: str, cols: list,
+              variant: str = "literal") -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return migration(spark, sf_dir, fids[-1], variant).inserted_in(table, *fids).select(*cols)
+    return q
+
+
+def _published(table: str, cols: list) -> Callable[[SparkSession, str], DataFrame]:
+    """a table as published; selecting from it fails if its lineage column is wanted."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return migration(spark, sf_dir, fids[-1]).inserted_in(table, *fids).select(*cols)
+        df = migration(spark, sf_dir, "F36").published()[table]
+        assert LINEAGE[table] not in df.columns
+        return df.select(*cols)
     return q
 
 
+def _duplicate_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose profile flow gives more than one row (A5)."""
+    eav = fixture_sources(spark, sf_dir)["user_profile"]
+    return duplicate_properties(eav, "UserID", "PropertyDefinitionID")
+
+
+def _topics_listed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics that F28 inserts more than once (Q14)."""
+    listed = fixture_sources(spark, sf_dir)["af_forum_topics"].groupBy("TopicID").agg(F.count(F.lit(1)).alias("n"))
+    return listed.filter("n > 1")
+
+
 def _discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover_boards(fixture_sources(spark, sf_dir))
 
 
 def _surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D6 on its own: dense ids in (user_id, ts, event_id) order over every event."""
-    checkpoint_dir(spark, _checkpoint_fallback(spark))
+    checkpoint_dir(spark)
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "ts")
     return assign_ids(ev, "SurrogateID", ["user_id", "ts", "event_id"]).select("event_id", "user_id", "SurrogateID")
 
 
-USER_COLS = ["UserID", "BoardID", "ProviderUserKey", "Name", "DisplayName", "Password", "Email", "Joined",
-             "LastVisit", "NumPosts", "TimeZone", "Avatar", "Signature", "RankID", "Suspended", "SuspendedBy",
-             "OverrideDefaultThemes", "PMNotification", "Flags", "Points"]
-PROFILE_COLS = ["UserID", "LastUpdatedDate", "LastActivity", "ApplicationName", "IsAnonymous", "UserName", "Gender",
-                "RealName", "Birthday", "City", "Country", "Region", "Homepage", "Blog"]
+USER_COLS = [c for c in TARGETS["yaf_User"].fieldNames() if c != "AvatarImage"]     # never set, and binary
+PROFILE_COLS = TARGETS["yaf_UserProfile"].fieldNames()
 FORUM_COLS = ["ForumID", "CategoryID", "ParentID", "Name", "Description", "SortOrder", "LastPosted", "NumTopics",
               "NumPosts", "Flags", "IsModeratedNewTopicOnly", "oForumID"]
 TOPIC_COLS = ["TopicID", "ForumID", "UserID", "UserDisplayName", "Posted", "Topic", "Description", "Status", "Styles",
@@ -112,7 +126,7 @@ def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _full_depth_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3 option: the child-forum hop repeated (depth 3 migrated), names matched as stored."""
+    """Q3 option: the child-forum hop repeated until it inserts nothing, matched on source ids."""
     return migration(spark, sf_dir, "F27", "full_depth").state("F27", "yaf_Forum").select(*FORUM_COLS)
 
 
@@ -155,6 +169,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clone_registry": _state("F13", "yaf_Registry", ["RegistryID", "BoardID", "Name", "Value"]),
         "asp_roles": _state("F14", "aspnet_Roles", ["ApplicationID", "RoleID", "RoleName", "LoweredRoleName",
                                                     "Description"]),
+        "access_masks": _state("F03", "yaf_AccessMask", TARGETS["yaf_AccessMask"].fieldNames()),
+        "ranks": _state("F06", "yaf_Rank", TARGETS["yaf_Rank"].fieldNames()),
+        "users_collated": _inserted(("F15", "F16"), "yaf_User", USER_COLS, "collated"),
+        "server_offset": _inserted(("F26",), "yaf_Forum", ["oForumID", "LastPosted"], "server_offset"),
+        "duplicate_properties": _duplicate_properties,
+        "topics_listed_twice": _topics_listed_twice,
+        "published_boards": _published("yaf_Board", ["BoardID", "Name", "AllowThreaded", "MembershipAppName",
+                                                     "RolesAppName"]),
+        "published_categories": _published("yaf_Category", ["CategoryID", "BoardID", "Name", "CategoryImage",
+                                                            "SortOrder", "PollGroupID"]),
+        "published_forums": _published("yaf_Forum", ["ForumID", "CategoryID", "Name", F.col("NumTopics").cast("bigint"),
+                                                     F.col("NumPosts").cast("bigint")]),
+        "published_topics": _published("yaf_Topic", ["TopicID", "ForumID", "UserID", "Topic", "NumPosts",
+                                                     "LastMessageID"]),
         "users_insert_only": _inserted(("F15", "F16"), "yaf_User", USER_COLS),
         "user_profiles_eav": _inserted(("F17",), "yaf_UserProfile", PROFILE_COLS),
         "memberships": _state("F21", "yaf_UserGroup", ["UserID", "GroupID"]),

@@ -8,7 +8,6 @@ Layout
                update from aggregate, surrogate keys, lineage, scalar lookups, EAV pivot,
                board-scoped product joins, publish
 ``plans``      one function per migration flow, composed by :class:`plans.migration.Migration`
-``streaming``  incremental reruns of the content flows over newly arriving source files
 """
 
 __version__ = "0.1.0"

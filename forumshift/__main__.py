@@ -5,8 +5,8 @@
 
 ``--sources`` holds one folder per source table (``modules``, ``tab_modules``, ...),
 ``--targets`` one per target table (``yaf_Board``, ...).  The run's statement outputs are
-staged under ``spark.checkpoint.dir``; the published tables are written under ``--out`` and
-switched in all at once (D8).
+staged under ``spark.checkpoint.dir`` and removed at the end; what the run added is written under
+``--out`` and becomes visible all at once (D8).  A run stopped by ``--upto`` is not published.
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ from __future__ import annotations
 import argparse
 import dataclasses
 import json
-import uuid
 
 from .operators.publish import publish
 from .params import RunParams
-from .plans.migration import Migration
+from .plans.migration import Migration, flows
 from .session import build_session
 from .sources.tables import read_sources, read_targets
 
@@ -32,7 +31,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--template-board", type=int, default=1)
     ap.add_argument("--tz-offset", type=int, default=None, help="minutes added to every date (default: server)")
     ap.add_argument("--source-tz", default=None, help="convert dates from this zone instead of a constant")
-    ap.add_argument("--forum-depth", type=int, default=1)
+    ap.add_argument("--forum-full-depth", action="store_true", help="migrate forums at every depth")
     ap.add_argument("--upto", default=None, help="stop after this flow id (e.g. F27)")
     ap.add_argument("--parallel", action="store_true", help="run independent statement groups concurrently")
     ap.add_argument("--option", action="append", default=[], metavar="NAME=VALUE",
@@ -54,13 +53,18 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     args = parse(argv)
     spark = spark or build_session()
     params = RunParams(module_id=args.module_id, template_board_id=args.template_board,
-                       tz_offset_min=args.tz_offset, source_tz=args.source_tz, forum_max_depth=args.forum_depth)
+                       tz_offset_min=args.tz_offset, source_tz=args.source_tz, forum_full_depth=args.forum_full_depth)
     extra = dict(o.split("=", 1) for o in args.option)
     params = dataclasses.replace(params, **{k: _coerce(v) for k, v in extra.items()})
     m = Migration(spark, read_sources(spark, args.sources), read_targets(spark, args.targets), params)
     m.run(upto=args.upto, parallel=args.parallel)
-    manifest = publish(spark, m.published(), args.out, f"run-{m.run_id}-{uuid.uuid4().hex[:6]}")
-    report = {"board_id": m.board_id, "flows": m.done, "timings": m.timings, "tables": manifest}
+    report = {"board_id": m.board_id, "flows": m.done, "timings": m.timings}
+    if args.upto is None or len(m.done) == len(flows()):
+        changed, rewritten = m.changes()
+        run = f"run-{m.run_id}"
+        unchanged = {n: f"{args.targets}/{n}" for n in m.tgt.base if n not in rewritten}
+        report |= {"run": run, "tables": publish(spark, changed, unchanged, args.out, run)}
+    m.drop_staged()
     print(json.dumps(report))
     return report
 

@@ -1,6 +1,6 @@
 """Column expressions of the migration; all built-in, codegen-friendly."""
 
-from .casts import nz, to_date_strict, to_smallint  # noqa: F401
+from .casts import to_date_strict, to_smallint  # noqa: F401
 from .flags import (first_post_flags, reply_flags, topic_flags, topic_priority,  # noqa: F401
                     topic_status)
 from .temporal import epoch_seconds_to_ts, shift_minutes, ts_literal  # noqa: F401

@@ -1,17 +1,16 @@
 """A5: entity-attribute-value rows turned into columns in one pass.
 
 The reference joins the EAV table once per property (five scans, five shuffles).  One
-conditional aggregation reads it once and shuffles it once by entity; the aggregation is
-partial (map-side) so an entity with very many rows costs no more than its partial
-states.  It equals the join form whenever (entity, property) is unique, which
-``duplicate_properties`` reports.
+aggregation reads it once and shuffles it once by entity, keeping the list of values of every
+property; the lists are then expanded, so an entity that holds a property twice gives one row
+per combination, exactly like the joins.  ``duplicate_properties`` reports such entities.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,16 +20,15 @@ def pivot_properties(eav: DataFrame, key: str, property_col: str,
     definition was not found) yields an all-NULL column, like the join on ``= NULL``."""
     ids = [pid for pid, _ in wanted.values() if pid is not None]
     rows = eav.filter(F.col(property_col).isin(ids)) if ids else eav.limit(0)
-    aggs: list[Column] = []
-    for out, (pid, value_col) in wanted.items():
-        if pid is None:
-            aggs.append(F.max(F.lit(None).cast(eav.schema[value_col].dataType)).alias(out))
-        else:
-            aggs.append(F.max(F.when(F.col(property_col) == F.lit(pid), F.col(value_col))).alias(out))
-    return rows.groupBy(key).agg(*aggs)
+    held = rows.groupBy(key).agg(*[
+        F.collect_list(F.when(F.col(property_col) == F.lit(pid), F.struct(F.col(value_col).alias("v")))).alias(out)
+        for out, (pid, value_col) in wanted.items()])
+    for out in wanted:
+        held = held.withColumn(out, F.explode_outer(out))
+    return held.select(key, *[F.col(out)["v"].alias(out) for out in wanted])
 
 
-def duplicate_properties(eav: DataFrame, key: str, property_col: str, ids: list) -> DataFrame:
+def duplicate_properties(eav: DataFrame, key: str, property_col: str) -> DataFrame:
     """Entities holding one property more than once (where the join form would fan out)."""
-    return (eav.filter(F.col(property_col).isin(ids)).groupBy(key, property_col)
+    return (eav.groupBy(key, property_col)
                .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))

@@ -3,14 +3,12 @@
 J8 "board-scoped products": several statements join tables only through ``BoardID`` after
 both sides are restricted to one board, i.e. every row of the big side meets every row of
 the small side under ONE key value.  A shuffle join would send the whole big side to a
-single reducer.  ``product_join`` counts the small side (one tiny job) and
+single reducer.  ``product_join`` replicates the small side over as many salt values as the
+session has shuffle partitions, and the big side takes a salt by hash, so the hot key is
+spread over all tasks.  A small side of few bytes is broadcast by Spark's own size check
+(``spark.sql.autoBroadcastJoinThreshold``), salted or not.
 
-* broadcasts it when it is within ``max_broadcast_rows`` (the checked bound), or
-* otherwise salts: the small side is replicated over ``salt_buckets`` salt values, the
-  big side takes a hash-derived salt, and the join key becomes (key, salt) -- so the hot
-  key is spread over ``salt_buckets`` tasks instead of one.
-
-Both give exactly the rows of the plain inner join; nothing is dropped or capped.
+The result is exactly the plain inner join; nothing is dropped or capped.
 """
 
 from __future__ import annotations
@@ -23,13 +21,10 @@ from pyspark.sql import functions as F
 _SALT = "_fs_salt"
 
 
-def product_join(big: DataFrame, small: DataFrame, on: Sequence[str], max_broadcast_rows: int = 1_000_000,
-                 salt_buckets: int = 64, small_rows: int | None = None) -> DataFrame:
-    n = small_rows if small_rows is not None else small.count()
-    if n <= max_broadcast_rows:
-        return big.join(F.broadcast(small), list(on), "inner")
-    salted_small = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    salted_big = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets)))
+def product_join(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    salts = max(1, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted_small = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_big = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
     return salted_big.join(salted_small, list(on) + [_SALT], "inner").drop(_SALT)
 
 

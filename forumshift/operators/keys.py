@@ -1,21 +1,22 @@
-"""D6 surrogate keys and D7 lineage crosswalks.
+"""D6 surrogate keys.
 
 ``assign_ids`` gives every row a new id ``base + rank``, where ``rank`` is the row's 1-based
 position in ``order_by`` order -- exactly ``base + row_number() OVER (ORDER BY ...)`` -- without
 the single-partition window that SQL form implies:
 
-1. range-shuffle the rows on the order columns (sampled bounds, so one hot value of a
-   *non-unique* prefix cannot pile up beyond what the sampler sees; keys are unique here),
-2. sort inside each partition,
-3. count rows per partition (at most ``num_partitions`` numbers -- bounded by the partition
-   count, not by the data) and turn the counts into running offsets,
-4. id = base + offset(partition) + position inside the partition.
-
-The position comes from ``monotonically_increasing_id`` evaluated right after the sort in
-the same task, so no second shuffle is needed.  Phase 1 (partitioned, sorted, positioned
-rows) is staged once -- range bounds are sampled and must not be re-drawn between the
-counting and the numbering.  The order columns must be unique for ids to be reproducible;
-callers pass a tiebreaker column.
+1. range-shuffle the rows on the order columns and sort inside each partition (the number of
+   partitions is the session's, which AQE coalesces to the measured bytes; neighbouring ranges
+   stay in order),
+2. stage the sorted rows once with their partition and their place in it -- range bounds are
+   sampled and must not be drawn again between counting and numbering,
+3. count rows per partition and turn the counts into running offsets, a table with one row per
+   partition that is staged and joined back,
+4. id = base + offset(partition) + place inside the partition.
+
+The place comes from ``monotonically_increasing_id`` evaluated right after the sort in the same
+task, so no second shuffle is needed.  The order columns must be unique for ids to be
+reproducible; callers pass a tiebreaker column.  Callers number narrow rows and attach payload
+columns afterwards.
 """
 
 from __future__ import annotations
@@ -24,22 +25,18 @@ from collections.abc import Callable, Sequence
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 _PART = "_fs_part"
 _POS = "_fs_pos"
+_OFF = "_fs_off"
 
 
 def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def max_id(df: DataFrame, id_col: str) -> Column:
-    """Largest existing id as a lazy scalar subquery (0 for an empty table)."""
-    return F.coalesce(df.select(F.max(F.col(id_col)).cast("bigint")).scalar(), F.lit(0).cast("bigint"))
-
-
 def max_id_value(df: DataFrame, id_col: str) -> int:
     """Largest existing id, resolved now (one small job over the id column only)."""
     return int(df.select(F.max(F.col(id_col)).cast("bigint")).first()[0] or 0)
@@ -56,84 +53,27 @@ class Numbered:
     count: int        # number of rows numbered (so the caller knows the new max id)
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_LITERAL_OFFSETS = 1000
-
-
-MAX_ID_PARTITIONS = 200_000
-
-
-def estimated_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Partitions for the range shuffle, decided without running a job.
-
-    The bytes of the plan's leaves (file sizes of the scans) bound what flows into the
-    numbering far better than Catalyst's join estimate (a product of the sides without
-    CBO).  ~128 MB per partition, at least 1, at most ``MAX_ID_PARTITIONS``; independent of
-    ``spark.sql.shuffle.partitions``, which clusters often leave at its default and let AQE
-    coalesce -- a range shuffle cannot be coalesced without changing the numbering.
-    Leaves of unknown size count as one partition's worth.
-    """
-    cap = MAX_ID_PARTITIONS
-    try:
-        it = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-        total = 0
-        while it.hasNext():
-            raw = it.next().stats().sizeInBytes()
-            size = raw if isinstance(raw, int) else int(raw.toString())
-            total += size if size < (1 << 50) else target_bytes
-    except Exception:  # pragma: no cover - estimate unavailable
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, -(-total // target_bytes)))
-
-
 def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], base: Column | int = 0,
                 num_partitions: int | None = None,
                 stage: Callable[[DataFrame], DataFrame] | None = None) -> Numbered:
-    n = num_partitions or estimated_partitions(df)
     keys = [_as_col(c) for c in order_by]
     base_col = base if isinstance(base, Column) else F.lit(int(base))
-
-    # phase 1: range partitions in key order, each sorted, with the row's place in it
-    # (a single partition needs no sampled bounds: a plain exchange to one partition)
-    parted = df.repartition(1) if n == 1 else df.repartitionByRange(n, *keys)
-    ranged = (parted.sortWithinPartitions(*keys)
-                .withColumn(_PART, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id()
-                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    # Range bounds come from sampling, which is not reproducible across executions (shuffle
-    # fetch order, resampling seeds).  Counting and numbering must therefore read the SAME
-    # partitioning: phase 1 is staged once (written to the shared checkpoint folder) and
-    # everything below reads that fixed data.
-    fixed = (stage or checkpoint_stage)(ranged)
-    # phase 2: rows per partition -> running offsets.  At most ``n`` small rows reach the
-    # driver (bounded by the partition count, not the data); the offsets become a literal
-    # map, so reading the numbered rows is a projection without further stages.
-    counts = sorted((r[0], r[1]) for r in fixed.groupBy(_PART).agg(F.count(F.lit(1))).collect())
-    offsets, total = {}, 0
-    for part, cnt in counts:
-        offsets[part] = total
-        total += cnt
-    if len(offsets) <= MAX_LITERAL_OFFSETS:
-        lookup = (F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
-                  if offsets else F.create_map().cast("map<int,bigint>"))
-        with_off = fixed.withColumn("_fs_off", F.coalesce(F.element_at(lookup, F.col(_PART)), F.lit(0).cast("bigint")))
-    else:
-        # many partitions: the offsets (one row per partition) are broadcast instead
-        table = df.sparkSession.createDataFrame(list(offsets.items()), f"{_PART} int, _fs_off bigint")
-        with_off = fixed.join(F.broadcast(table), _PART)
-    out = with_off.withColumn(id_col, (base_col.cast("bigint") + F.col("_fs_off") + F.col(_POS) + F.lit(1))
-                              .cast("bigint"))
-    return Numbered(out.drop(_PART, _POS, "_fs_off"), total)
+    stage = stage or checkpoint_stage
+    parted = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
+    seen = Observation()
+    ranged = parted.sortWithinPartitions(*keys).withColumn(_PART, F.spark_partition_id()).withColumn(_POS, place)
+    fixed = stage(ranged.observe(seen, F.count(F.lit(1)).alias("n")))
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)     # one row per partition
+    counts = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias("_fs_n"))
+    offsets = stage(counts.withColumn(_OFF, F.coalesce(F.sum("_fs_n").over(before), F.lit(0))))
+    # an inner join: a partition without an offset would lose its rows, not reuse ids
+    new_id = (base_col.cast("bigint") + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint")
+    out = fixed.join(offsets.select(_PART, _OFF), _PART).withColumn(id_col, new_id)
+    return Numbered(out.drop(_PART, _POS, _OFF), int(seen.get["n"]))
 
 
 def assign_ids(df: DataFrame, id_col: str, order_by: Sequence[Column | str],
                base: Column | int = 0, num_partitions: int | None = None,
                stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     return number_rows(df, id_col, order_by, base, num_partitions, stage).df
-
-
-def crosswalk(target: DataFrame, lineage_col: str, id_col: str, old_name: str = "old_id",
-              new_name: str = "new_id") -> DataFrame:
-    """Old source id -> new target id, for rows migrated by a run (lineage set)."""
-    return (target.filter(F.col(lineage_col).isNotNull())
-                  .select(F.col(lineage_col).alias(old_name), F.col(id_col).alias(new_name)))

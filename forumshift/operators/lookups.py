@@ -34,6 +34,3 @@ def resolve(spark: SparkSession, lookups: Mapping[str, DataFrame], required: tup
         raise LookupError_(f"required lookups returned no row: {missing}")
     return values
 
-
-def lit_or_null(value: Any, dtype: str):
-    return F.lit(value).cast(dtype)

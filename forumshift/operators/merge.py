@@ -13,11 +13,12 @@ table state and the rows it added:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .keys import max_id_value, number_rows
 
@@ -46,6 +47,7 @@ def not_matched(source: DataFrame, target: DataFrame, keys: Sequence[str],
       key are filtered out *before* the shuffle -- for the lineage-keyed merges this prunes
       every row that predates the run (their lineage column is NULL), and parquet skips
       whole row groups on the null count;
+    * ``collation`` compares string keys; keys of other types stay as they are;
     * ``target_filter`` carries the constant target predicates of the ON clause
       (``T.BoardID = @BoardID``); Catalyst pushes it to the target scan.
     """
@@ -57,7 +59,7 @@ def not_matched(source: DataFrame, target: DataFrame, keys: Sequence[str],
     cond = None
     for i, (_, s) in enumerate(pairs):
         left, right = source[s], tgt[f"_fs_t{i}"]
-        if collation:
+        if collation and isinstance(source.schema[s].dataType, StringType):
             left, right = F.collate(left, collation), F.collate(right, collation)
         c = left == right
         cond = c if cond is None else cond & c
@@ -68,10 +70,12 @@ def insert_only_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       source_keys: Sequence[str] | None = None, target_filter: Column | None = None,
                       id_col: str | None = None, id_order: Sequence[Column | str] | None = None,
                       id_partitions: int | None = None, collation: str | None = None,
-                      stage=None, base_id: int | None = None) -> MergeResult:
+                      stage=None, base_id: int | None = None,
+                      attach: Callable[[DataFrame], DataFrame] | None = None) -> MergeResult:
     """D1.  ``source`` carries target column names (plus any extra match columns named in
     ``source_keys``); columns the target has but the source lacks become typed NULLs.
-    ``stage`` materialises the key-assignment input (see ``keys.assign_ids``)."""
+    ``stage`` materialises the key-assignment input (see ``keys.assign_ids``); ``attach`` adds
+    payload columns to the numbered rows, so that they cross no numbering shuffle."""
     new_rows = not_matched(source, target, keys, source_keys, target_filter, collation)
     numbered = None
     if id_col is not None:
@@ -79,6 +83,8 @@ def insert_only_merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
         res = number_rows(new_rows, id_col, id_order or [c for c in source.columns if c != id_col],
                           base=base, num_partitions=id_partitions, stage=stage)
         new_rows, numbered = res.df, res.count
+    if attach is not None:
+        new_rows = attach(new_rows)
     inserted = _align(new_rows, target)
     return MergeResult(target.unionByName(inserted), inserted, numbered)
 

@@ -1,10 +1,9 @@
-"""All-or-nothing publish, re-aimed from the reference's transaction.
+"""A run becomes visible as a whole or not at all.
 
-Every output table of a run is written to ``<root>/_runs/<run_id>/<table>``; only when all
-writes have succeeded is a small manifest written and the ``_CURRENT`` pointer replaced by
-a rename.  Readers resolve tables through the pointer, so they see either the previous
-run or this one, never a mix.  A failed run leaves only an unreferenced folder behind.
-Writes use Spark's own commit protocol, so lost executors only cause task retries.
+Only what a run added or changed is written: plain Parquet tables below ``<root>/<run>``.  The
+last thing written is ``STATUS.json``, which lists the folders of every table -- the unchanged
+input folder and the run's own part, or the rewritten table alone.  A run without that file does
+not exist for readers; nothing is renamed, replaced or deleted.
 """
 
 from __future__ import annotations
@@ -13,66 +12,33 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATUS = "STATUS.json"
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+def publish(spark: SparkSession, changed: dict[str, DataFrame], unchanged: dict[str, str], root: str, run: str) -> dict:
+    """Write ``changed`` and list it with the ``unchanged`` folders (table -> path)."""
+    tables = {name: [path] for name, path in unchanged.items()}
+    for name, df in changed.items():
+        path = f"{root}/{run}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        tables.setdefault(name, []).append(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{run}/{STATUS}")
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, False)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(json.dumps({"run": run, "tables": tables}).encode("utf-8")))
     finally:
         out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return "\n".join(lines)
-    finally:
-        stream.close()
-
-
-def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str) -> dict[str, str]:
-    paths = {}
-    for name, df in tables.items():
-        path = f"{root}/_runs/{run_id}/{name}"
-        df.write.mode("errorifexists").parquet(path)
-        paths[name] = path
-    previous = current_manifest(spark, root) or {}
-    manifest = {**previous.get("tables", {}), **paths}
-    _write_text(spark, f"{root}/_runs/{run_id}/_MANIFEST.json", json.dumps({"run_id": run_id, "tables": manifest}))
-    tmp = f"{root}/_CURRENT.{run_id}.tmp"
-    _write_text(spark, tmp, json.dumps({"run_id": run_id, "manifest": f"{root}/_runs/{run_id}/_MANIFEST.json"}))
-    fs, src = _fs(spark, tmp)
-    _, dst = _fs(spark, f"{root}/_CURRENT")
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(src, dst):
-        raise RuntimeError("could not switch the _CURRENT pointer")
-    return manifest
-
-
-def current_manifest(spark: SparkSession, root: str) -> dict | None:
-    pointer = _read_text(spark, f"{root}/_CURRENT")
-    if pointer is None:
-        return None
-    return json.loads(_read_text(spark, json.loads(pointer)["manifest"]))
-
-
-def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    manifest = current_manifest(spark, root) or {"tables": {}}
-    return {name: spark.read.parquet(path) for name, path in manifest["tables"].items()}
+    return tables
+
+
+def read_published(spark: SparkSession, root: str, run: str) -> dict[str, DataFrame]:
+    """The tables of a published run; raises for a run that was not completed."""
+    listed = json.loads("".join(r.value for r in spark.read.text(f"{root}/{run}/{STATUS}").collect()))
+    out = {}
+    for name, paths in listed["tables"].items():
+        parts = [spark.read.parquet(p) for p in paths]
+        columns = parts[-1].columns
+        out[name] = parts[0].select(*columns)
+        for p in parts[1:]:
+            out[name] = out[name].unionByName(p)
+    return out

@@ -4,7 +4,7 @@ that choose between the literal text of the reference and its evident intent (Q-
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 def server_tz_offset_minutes() -> int:
@@ -25,10 +25,9 @@ class RunParams:
     profile_application_name: str = "DotNetNuke"
 
     # literal vs intent (SURVEY Q-list); defaults follow the survey decisions
-    city_from_city_property: bool = True        # Q1: intent (literal is a nested-loop product)
     exclude_portal_roles: bool = True           # Q2: literal NOT IN of the module portal's roles
-    forum_max_depth: int = 1                    # Q3: literal = one hop below the roots
-    match_truncated_forum_names: bool = False   # Q4: literal compares the untruncated name
+    forum_full_depth: bool = False              # Q3/Q4: literal = one hop below the roots, by name;
+                                                # True = every level, by lineage
     replies_to_first_post_only: bool = True     # Q5: intent, equal to literal on a first run
     require_posts: bool = False                 # Q6: literal (no NumPosts > 0 filter)
     fail_if_board_exists: bool = True           # Q7
@@ -40,10 +39,6 @@ class RunParams:
 
     # physical knobs
     id_partitions: int | None = None            # partitions of the range shuffle in key assignment
-    broadcast_max_rows: int = 1_000_000         # checked bound for broadcasting a product side
-    salt_buckets: int = 64                      # beyond the bound: salted shuffle instead
-
-    extra: dict = field(default_factory=dict)
 
     def resolved(self) -> "RunParams":
         tz = self.tz_offset_min if self.tz_offset_min is not None else server_tz_offset_minutes()

@@ -84,7 +84,7 @@ def create_board(m: Migration) -> None:
 
 # ------------------------------------------------------------------- F03-F13
 def clone_template(m: Migration, table: str, id_col: str, keys: Sequence[str], where: Column | None = None) -> DataFrame:
-    """``MERGE T USING (SELECT @boardID AS BoardID, ... FROM T WHERE BoardID = @tplBoardID) S``.
+    """The template board's rows of a table, given to the new board where it lacks them.
 
     The source reads the table as it was before the statement (immutable DataFrame).  New
     ids follow the template rows' own ids, so the clone keeps the template's order.

@@ -2,9 +2,13 @@
 
 Scale notes
 -----------
-* Keys first, payload last: the join chains run on narrow rows (ids, flags, dates);
-  ``Body`` is joined once at the end on ``ContentID``, so the message text crosses the
-  network once instead of once per join.
+* Numbers first, payload last: joins and the numbering shuffle carry narrow rows (ids, flags,
+  dates).  Subject, Summary and Body are joined once, on ``ContentID``, to numbered rows;
+  attachment bytes likewise, on their own hash.
+* The narrow columns of the content table are staged once (``Migration.content_rows``) and read
+  by three statements.
+* Topics without a reply have no last author: they are split off before the lookups, so that no
+  reducer gets them all under one NULL key.
 * Portal users are resolved through ``user_map`` (one row per user); a prolific author is
   a hot join key on the content side, which AQE's skew-join splitting handles, and small
   maps are broadcast by AQE from runtime sizes.
@@ -14,13 +18,15 @@ Scale notes
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.flags import (LAST_MESSAGE_FLAGS, first_post_flags, reply_flags, topic_flags, topic_priority,
                                topic_status)
 from ..functions.temporal import epoch_seconds_to_ts, shift_minutes
-from ..functions.text import left
+from ..functions.text import left, name_key
 from ..operators.merge import update_from_aggregate
 from .migration import Migration
 
@@ -37,45 +43,52 @@ def _authors(m: Migration, prefix: str) -> DataFrame:
                      c("YDisplayName").alias(f"{prefix}DisplayName"))
 
 
+def _texts(m: Migration, key: str, **columns) -> Callable[[DataFrame], DataFrame]:
+    """Joins text columns of the content table to numbered rows, on the content id in ``key``."""
+    content = m.src["af_content"].select(c("ContentID").alias("_text_id"), *[e.alias(n) for n, e in columns.items()])
+    return lambda rows: rows.join(content, c(key) == c("_text_id")).drop("_text_id")
+
+
 # ------------------------------------------------------------------------- F28
 def topics(m: Migration) -> None:
     src = m.src
     t = src["af_topics"]
-    content = src["af_content"].select(
-        c("ContentID").alias("CContentID"), c("AuthorID"), c("Subject"), c("Summary"), c("DateCreated"),
-        c("IsDeleted").alias("CIsDeleted"))
+    content = m.content_rows().select(c("ContentID").alias("CContentID"), "AuthorID", "DateCreated",
+                                      c("IsDeleted").alias("CIsDeleted"))
     x = src["af_forum_topics"].select(c("TopicID").alias("XTopicID"), c("ForumID").alias("XForumID"),
                                       "LastReplyID", "LastReplyDate")
     forums = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull()).select(
         c("ForumID").alias("YForumID"), c("oForumID").alias("FoForumID"))
-    replies = src["af_replies"].select(c("ReplyID").alias("RReplyID"), c("ContentID").alias("RContentID"))
-    reply_content = src["af_content"].select(c("ContentID").alias("AContentID"), c("AuthorID").alias("AAuthorID"))
     base = (t.join(content, t.ContentID == content.CContentID)
              .join(x, t.TopicID == x.XTopicID)
              .join(forums, c("XForumID") == c("FoForumID"))
-             .join(_authors(m, "A"), c("AuthorID") == c("ASrcID"))
-             .join(replies, c("RReplyID") == c("LastReplyID"), "left")
-             .join(reply_content, c("RContentID") == c("AContentID"), "left")
-             .join(_authors(m, "L"), c("AAuthorID") == c("LSrcID"), "left"))
-    rows = base.select(
+             .join(_authors(m, "A"), c("AuthorID") == c("ASrcID")))
+    answered = _last_authors(m, base.filter(c("LastReplyID").isNotNull()))
+    silent = base.filter(c("LastReplyID").isNull()).withColumns({
+        "LUserID": F.lit(None).cast("bigint"), "LDisplayName": F.lit(None).cast("string")})
+    rows = answered.unionByName(silent).select(
         c("YForumID").alias("ForumID"), c("AUserID").alias("UserID"), c("ADisplayName").alias("UserDisplayName"),
-        _shift(m, c("DateCreated")).alias("Posted"), left("Subject", 100).alias("Topic"),
-        left("Summary", 255).alias("Description"), topic_status(c("StatusID")).alias("Status"),
+        _shift(m, c("DateCreated")).alias("Posted"), topic_status(c("StatusID")).alias("Status"),
         F.lit("").alias("Styles"), c("ViewCount").alias("Views"),
         topic_priority(c("IsAnnounce"), c("IsPinned")).alias("Priority"),
         _shift(m, epoch_seconds_to_ts(c("LastReplyDate"))).alias("LastPosted"),   # Q13
         c("LUserID").alias("LastUserID"), c("LDisplayName").alias("LastUserDisplayName"),
         F.lit(0).alias("NumPosts"),
         topic_flags(c("IsDeleted"), c("CIsDeleted"), c("IsLocked"), c("StatusID")).alias("Flags"),
-        F.lit(0).alias("LastMessageFlags"), c("TopicID").alias("oTopicID"))
+        F.lit(0).alias("LastMessageFlags"), c("TopicID").alias("oTopicID"), c("ContentID").alias("_content"))
     # Q14: a topic listed in two forums is inserted twice (literal); the forum id breaks the tie
-    m.merge("yaf_Topic", rows, ["oTopicID"], id_col="TopicID", id_order=["oTopicID", "ForumID"])
+    m.merge("yaf_Topic", rows, ["oTopicID"], id_col="TopicID", id_order=["oTopicID", "ForumID"],
+            attach=_texts(m, "_content", Topic=left("Subject", 100), Description=left("Summary", 255)))
 
 
-def _message_rows(narrow: DataFrame, content: DataFrame) -> DataFrame:
-    """Attach the payload (Body) to the narrow message rows, on ContentID, last."""
-    body = content.select(c("ContentID").alias("BContentID"), c("Body").alias("Message"))
-    return narrow.join(body, narrow.oContentID == body.BContentID).drop("BContentID")
+def _last_authors(m: Migration, answered: DataFrame) -> DataFrame:
+    """Who wrote a topic's last reply; a reply, its content or its author may be missing."""
+    replies = m.src["af_replies"].select(c("ReplyID").alias("RReplyID"), c("ContentID").alias("RContentID"))
+    written = m.content_rows().select(c("ContentID").alias("WContentID"), c("AuthorID").alias("WAuthorID"))
+    return (answered.join(replies, c("LastReplyID") == c("RReplyID"), "left")
+            .join(written, c("RContentID") == c("WContentID"), "left")
+            .join(_authors(m, "L"), c("WAuthorID") == c("LSrcID"), "left")
+            .drop("RReplyID", "RContentID", "WContentID", "WAuthorID", "LSrcID"))
 
 
 # ------------------------------------------------------------------------- F29
@@ -83,8 +96,7 @@ def first_posts(m: Migration) -> None:
     src = m.src
     r = src["af_topics"].select(c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"),
                                 c("IsDeleted").alias("RIsDeleted"), "IsApproved", "IsLocked")
-    content = src["af_content"].select("ContentID", "AuthorID", "DateCreated", "IPAddress",
-                                       c("IsDeleted").alias("CIsDeleted"))
+    content = m.content_rows().withColumnRenamed("IsDeleted", "CIsDeleted")
     yt = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select(c("TopicID").alias("YTopicID"), "oTopicID")
     narrow = (r.join(content, r.RContentID == content.ContentID)
                .join(yt, c("RTopicID") == c("oTopicID"))
@@ -95,8 +107,8 @@ def first_posts(m: Migration) -> None:
                        c("IPAddress").alias("IP"),
                        first_post_flags(c("RIsDeleted"), c("CIsDeleted"), c("IsApproved"), c("IsLocked")).alias("Flags"),
                        F.lit(0).alias("IsModeratorChanged"), c("ContentID").alias("oContentID")))
-    m.merge("yaf_Message", _message_rows(narrow, src["af_content"]), ["oContentID"], id_col="MessageID",
-            id_order=["oContentID", "TopicID"])
+    m.merge("yaf_Message", narrow, ["oContentID"], id_col="MessageID", id_order=["oContentID", "TopicID"],
+            attach=_texts(m, "oContentID", Message=c("Body")))
 
 
 # ------------------------------------------------------------------------- F30
@@ -107,7 +119,7 @@ def replies(m: Migration) -> None:
     src = m.src
     r = src["af_replies"].select(c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"),
                                  c("IsDeleted").alias("RIsDeleted"), c("IsApproved").alias("RIsApproved"))
-    content = src["af_content"].select("ContentID", "AuthorID", "DateCreated", "IPAddress")
+    content = m.content_rows().drop("IsDeleted")
     x = src["af_topics"].select(c("TopicID").alias("XTopicID"), c("IsLocked").alias("XIsLocked"))
     yt = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select(c("TopicID").alias("YTopicID"), "oTopicID")
     msgs = m.tgt["yaf_Message"]
@@ -125,30 +137,40 @@ def replies(m: Migration) -> None:
                        c("IPAddress").alias("IP"),
                        reply_flags(c("RIsDeleted"), c("RIsApproved"), c("XIsLocked")).alias("Flags"),
                        F.lit(0).alias("IsModeratorChanged"), c("ContentID").alias("oContentID")))
-    m.merge("yaf_Message", _message_rows(narrow, src["af_content"]), ["oContentID"], id_col="MessageID",
-            id_order=["oContentID", "ReplyTo"])
+    m.merge("yaf_Message", narrow, ["oContentID"], id_col="MessageID", id_order=["oContentID", "ReplyTo"],
+            attach=_texts(m, "oContentID", Message=c("Body")))
 
 
 # ------------------------------------------------------------------------- F31
 def attachments(m: Migration) -> None:
     """Attachment -> migrated message (lineage) -> uploader on the board.  The reference does
     not scope the uploader to the board, so a name present on several boards multiplies
-    the row (Q8); the board scope is applied by default."""
-    a = m.src["af_attachments"]
+    the row (Q8); the board scope is applied by default.
+
+    Joins and numbering see a hash in place of the file's bytes, which also makes the order of
+    equally named files definite; the bytes are joined on content and hash at the end, each
+    distinct file of a content row once."""
+    digest = F.sha2("FileData", 256)
+    a = m.src["af_attachments"].withColumn("_file", digest).drop("FileData")
+    files = (m.src["af_attachments"].select(c("ContentID").alias("_content2"), digest.alias("_file2"), "FileData")
+             .dropDuplicates(["_content2", "_file2"]))
     msgs = m.tgt["yaf_Message"].filter(c("oContentID").isNotNull()).select(
         c("MessageID").alias("MMessageID"), c("oContentID").alias("MoContentID"))
     if m.p.board_scoped_attachment_authors:
         authors = _authors(m, "U")
     else:
         y = m.tgt["yaf_User"].select(c("UserID").alias("UUserID"), c("Name").alias("UName"))
-        authors = (m.src["users"].select(c("UserID").alias("USrcID"), "UserName")
-                   .join(y, c("UserName") == c("UName")).select("USrcID", "UUserID"))
+        same = name_key("UserName", m.p.name_collation) == name_key("UName", m.p.name_collation)
+        authors = m.src["users"].select(c("UserID").alias("USrcID"), "UserName").join(y, same).select("USrcID", "UUserID")
     rows = (a.join(msgs, a.ContentID == msgs.MoContentID)
              .join(authors, c("UserID") == c("USrcID"))
              .select(c("MMessageID").alias("MessageID"), c("UUserID").alias("UserID"), c("Filename").alias("FileName"),
-                     c("FileSize").alias("Bytes"), "ContentType", F.lit(0).alias("Downloads"), "FileData"))
+                     c("FileSize").alias("Bytes"), "ContentType", F.lit(0).alias("Downloads"),
+                     c("ContentID").alias("_content"), "_file"))
     m.merge("yaf_Attachment", rows, ["FileName", "MessageID"], id_col="AttachmentID",
-            id_order=["MessageID", "FileName", "UserID", "Bytes", "ContentType"])
+            id_order=["MessageID", "FileName", "UserID", "Bytes", "ContentType", "_file"],
+            attach=lambda numbered: numbered.join(
+                files, (c("_content") == c("_content2")) & c("_file").eqNullSafe(c("_file2"))))
 
 
 # ------------------------------------------------------------------------- F32

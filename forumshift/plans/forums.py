@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import shift_minutes
 from ..functions.text import left
-from .migration import Migration
+from .migration import Migration, MigrationError
 
 c = F.col
 
@@ -40,26 +40,56 @@ def _forum_rows(m: Migration, df: DataFrame, parent) -> DataFrame:
         c("ForumName").alias("_full_name"))
 
 
-def _merge_forums(m: Migration, rows: DataFrame) -> None:
+def _children(m: Migration, parents: DataFrame) -> DataFrame:
+    """Source forums right below ``parents`` (ForumID, oForumID of migrated forums)."""
+    above = parents.select(c("ForumID").alias("PForumID"), c("oForumID").alias("POForumID"))
+    src = _forum_source(m)
+    return _forum_rows(m, src.join(above, src.ParentForumID == above.POForumID), c("PForumID"))
+
+
+def _merge_by_name(m: Migration, rows: DataFrame) -> DataFrame:
     # Q4: the match uses the untruncated name while the stored name is cut at 50
-    src_name = "Name" if m.p.match_truncated_forum_names else "_full_name"
-    m.merge("yaf_Forum", rows, ["CategoryID", "Name"], source_keys=["CategoryID", src_name], id_col="ForumID",
-            id_order=["oForumID", "CategoryID"])
+    return m.merge("yaf_Forum", rows, ["CategoryID", "Name"], source_keys=["CategoryID", "_full_name"],
+                   id_col="ForumID", id_order=["oForumID", "CategoryID"])
+
+
+def _merge_by_lineage(m: Migration, rows: DataFrame) -> DataFrame:
+    return m.merge("yaf_Forum", rows, ["oForumID"], id_col="ForumID", id_order=["oForumID", "CategoryID"])
 
 
 def parent_forums(m: Migration) -> None:
     """root forums (ParentForumID = 0)."""
-    rows = _forum_rows(m, _forum_source(m).filter(c("ParentForumID") == F.lit(0)), F.lit(None).cast("bigint"))
-    _merge_forums(m, rows)
+    _merge_by_name(m, _forum_rows(m, _forum_source(m).filter(c("ParentForumID") == F.lit(0)),
+                                  F.lit(None).cast("bigint")))
 
 
 def child_forums(m: Migration) -> None:
-    """forums whose parent was migrated *before* the statement (one hop, J7).  The
-    reference runs it once, so depth >= 3 is not migrated (Q3); ``forum_max_depth`` repeats
-    the hop, each time against the forums loaded so far."""
-    for _ in range(max(1, m.p.forum_max_depth)):
-        parents = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull()).select(
-            c("ForumID").alias("PForumID"), c("oForumID").alias("POForumID"))
-        src = _forum_source(m)
-        joined = src.join(parents, src.ParentForumID == parents.POForumID)
-        _merge_forums(m, _forum_rows(m, joined, c("PForumID")))
+    """forums whose parent was migrated *before* the statement (one hop, J7).
+
+    The reference runs the hop once and matches names, so deeper forums are not migrated (Q3).
+    With ``forum_full_depth`` the hop repeats from the forums it has just inserted until it
+    inserts none, matching source ids: no depth and no equal name loses a forum."""
+    migrated = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull())
+    if not m.p.forum_full_depth:
+        _merge_by_name(m, _children(m, migrated))
+        return
+    below = _merge_by_lineage(m, _children(m, migrated))
+    while not below.isEmpty():
+        below = _merge_by_lineage(m, _children(m, below))
+    _check_no_cycle(m)
+
+
+def _check_no_cycle(m: Migration) -> None:
+    """Forums left out must hang below a forum that does not exist; peeling those off from the
+    top leaves only forums in, or below, a cycle of parents."""
+    done = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull()).select(c("oForumID").alias("ForumID"))
+    left_out = m._store(_forum_source(m).select("ForumID", "ParentForumID").join(done, "ForumID", "left_anti"), "left_out")
+    n, before = left_out.count(), None
+    while n and n != before:
+        before = n
+        above = left_out.select(c("ForumID").alias("ParentForumID")).distinct()
+        left_out = m._store(left_out.join(above, "ParentForumID", "left_semi"), "left_out")
+        n = left_out.count()
+    if n:
+        some = [r.ForumID for r in left_out.orderBy("ForumID").limit(10).collect()]
+        raise MigrationError(f"{n} forums are their own ancestors or below such forums, e.g. {some}")

@@ -63,7 +63,7 @@ class Tables:
 
 class Migration:
     def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], targets: dict[str, DataFrame],
-                 params: RunParams, checkpoint_fallback: str | None = None, materialize: bool = True):
+                 params: RunParams, materialize: bool = True):
         missing = [n for n in SOURCES if n not in sources]
         if missing:
             raise MigrationError(f"missing source tables: {missing}")
@@ -90,7 +90,8 @@ class Migration:
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex[:12]
         self._seq = 0
-        self._root = checkpoint_dir(spark, checkpoint_fallback) if materialize else None
+        self._root = checkpoint_dir(spark) if materialize else None
+        self._content: DataFrame | None = None
 
     # ------------------------------------------------------------------ state
     def _store(self, df: DataFrame, label: str) -> DataFrame:
@@ -156,18 +157,21 @@ class Migration:
     # ------------------------------------------------------------------ helpers
     def merge(self, table: str, source: DataFrame, keys: Sequence[str], *, source_keys: Sequence[str] | None = None,
               scope: Column | None = None, id_col: str | None = None, id_order: Sequence | None = None,
-              collation: str | None = None) -> DataFrame:
-        """D1 into ``table``; returns the inserted rows (materialised)."""
+              attach: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """D1 into ``table``; returns the inserted rows (materialised).  String keys compare under
+        the run's name collation.  ``attach`` joins payload columns to the numbered rows."""
         # with ids, the inserted rows are staged inside key assignment (one write); the part
-        # is the numbered view over that staged data
+        # is the numbered view over that staged data.  With a payload the numbered rows are
+        # narrow and the part is written with the payload joined on.
         res = insert_only_merge(self.tgt[table], source, keys, source_keys=source_keys, target_filter=scope,
                                 id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
-                                collation=collation, stage=self._stage_fn(table),
-                                base_id=self._max_id(table, id_col))
+                                collation=self.p.name_collation, stage=self._stage_fn(table),
+                                base_id=self._max_id(table, id_col), attach=attach)
         self._advance(table, id_col, res.numbered)
         if table == "yaf_User":
             self._user_map = None
-        return self.add_part(table, res.inserted, stored_already=id_col is not None and self.materialize)
+        stored = id_col is not None and attach is None and self.materialize
+        return self.add_part(table, res.inserted, stored_already=stored)
 
     def append(self, table: str, source: DataFrame, id_col: str | None = None, id_order: Sequence | None = None):
         res = append(self.tgt[table], source, id_col=id_col, id_order=id_order, id_partitions=self.p.id_partitions,
@@ -205,6 +209,20 @@ class Migration:
             self._user_map = self._store(build_user_map(self), "user_map")
         return self._user_map
 
+    def content_rows(self) -> DataFrame:
+        """The narrow columns of every content row, staged once: three statements look authors,
+        dates and flags up here and touch the texts only to attach them."""
+        if self._content is None:
+            self._content = self._store(self.src["af_content"].select(
+                "ContentID", "AuthorID", "DateCreated", "IPAddress", "IsDeleted"), "content")
+        return self._content
+
+    def drop_staged(self) -> None:
+        """Remove this run's staged folder, once its results are written elsewhere."""
+        if self._root:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._root}/forumshift-{self.run_id}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     # ------------------------------------------------------------------ running
     def _exec(self, fid: str, fn: Callable[["Migration"], None]) -> None:
         t0 = time.perf_counter()
@@ -263,6 +281,20 @@ class Migration:
         """target tables as they are published (lineage columns dropped)."""
         return {name: (drop_lineage(df, LINEAGE[name]) if name in LINEAGE else df) for name, df in self.tgt.items()}
 
+    def changes(self) -> tuple[dict[str, DataFrame], list[str]]:
+        """What a publish has to write, lineage dropped: the rows added to each table, or the whole
+        table where a statement rewrote it; and the names of the tables that were rewritten."""
+        if len(self.done) < len(flows()):
+            left = [f for f, _ in flows() if f not in self.done]
+            raise MigrationError(f"a partial run is not published; flows left: {left}")
+        rewritten = [n for n in self.tgt.base if self.tgt.base[n] is not self.tgt.base_at_start[n]]
+        out = {}
+        for name in self.tgt.base:
+            if name in rewritten or self.tgt.parts.get(name):
+                df = self.tgt[name] if name in rewritten else self.inserted_rows(name)
+                out[name] = drop_lineage(df, LINEAGE[name]) if name in LINEAGE else df
+        return out, rewritten
+
     def inserted_rows(self, table: str) -> DataFrame:
         parts = self.tgt.parts.get(table) or []
         if not parts:

@@ -31,8 +31,7 @@ def conservation(m: Migration) -> DataFrame:
     groups = src["af_groups"].filter(c("ModuleID") == F.lit(m.p.module_id))
     forums = src["af_forums"].join(groups.select(c("ForumGroupID")), "ForumGroupID", "left_semi")
     msgs = m.tgt["yaf_Message"]
-    users_on_board = (src["users"].join(m.board_rows("yaf_User").select(c("Name").alias("UserName")), "UserName",
-                                        "left_semi").select(c("UserID").alias("_id")))
+    users_on_board = m.user_map().select(c("UserID").alias("_id"))
     rows = [
         _row("users", src["users"], "UserID", users_on_board),
         _row("categories", groups, "ForumGroupID", lineage("yaf_Category", "oGroupID")),

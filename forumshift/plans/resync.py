@@ -25,9 +25,11 @@ def forum_rollup_frame(m: Migration) -> DataFrame:
     b = F.lit(m.board_id)
     cats = m.tgt["yaf_Category"].filter(c("BoardID") == b).select("CategoryID")
     forums = m.tgt["yaf_Forum"].join(cats, "CategoryID", "left_semi").select("ForumID")
-    topics = m.tgt["yaf_Topic"].select("TopicID", c("ForumID").alias("TForumID"))
+    # the board's forums were all inserted by this run, and so were their topics and messages:
+    # rows from before have no lineage and drop out at the scan
+    topics = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select("TopicID", c("ForumID").alias("TForumID"))
     latest = F.struct(c("Posted"), c("MessageID"))
-    per_topic = m.tgt["yaf_Message"].groupBy("TopicID").agg(
+    per_topic = m.tgt["yaf_Message"].filter(c("oContentID").isNotNull()).groupBy("TopicID").agg(
         F.count(F.lit(1)).alias("_posts"),
         F.max_by(F.struct("Posted", "MessageID", "UserID", "UserDisplayName"), latest).alias("_lt"))
     last = F.when(c("_lt").isNotNull(), F.struct(

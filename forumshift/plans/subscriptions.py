@@ -48,15 +48,15 @@ def watch_topics(m: Migration) -> None:
 
 def forum_access(m: Migration) -> None:
     """Every forum of the board x (admin access masks x administrator groups): tables joined
-    only through BoardID (J8).  The mask/group product is tiny and checked before it is
-    broadcast; the forums side is never shuffled on the single BoardID value."""
+    only through BoardID (J8).  The forums side is salted, never shuffled on the single
+    BoardID value."""
     b = F.lit(m.board_id)
     masks = m.tgt["yaf_AccessMask"].filter((c("BoardID") == b) & (c("Flags") == F.lit(2047))).select(
         "BoardID", "AccessMaskID")
     groups = m.tgt["yaf_Group"].filter((c("BoardID") == b) & (c("Flags") == F.lit(1))).select("BoardID", "GroupID")
-    grants = product_join(masks, groups, ["BoardID"], m.p.broadcast_max_rows, m.p.salt_buckets)
+    grants = product_join(masks, groups, ["BoardID"])
     cats = m.tgt["yaf_Category"].filter(c("BoardID") == b).select("BoardID", "CategoryID")
     forums = m.tgt["yaf_Forum"].select("ForumID", "CategoryID").join(cats, "CategoryID")
-    rows = product_join(forums, grants, ["BoardID"], m.p.broadcast_max_rows, m.p.salt_buckets).select(
+    rows = product_join(forums, grants, ["BoardID"]).select(
         "GroupID", "ForumID", "AccessMaskID")
     m.merge("yaf_ForumAccess", rows, ["ForumID", "GroupID"])

@@ -32,13 +32,13 @@ def _name_join(left: DataFrame, right: DataFrame, lcol: str, rcol: str, collatio
 
 
 def _product(m: Migration, big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    return product_join(big, small, on, m.p.broadcast_max_rows, m.p.salt_buckets)
+    return product_join(big, small, on)
 
 
 def build_user_map(m: Migration) -> DataFrame:
-    """``Users U JOIN yaf_User Y ON U.UserName = Y.Name AND Y.BoardID = @BoardID`` as one reusable
-    mapping UserID -> (YUserID, YDisplayName).  Equal to the two joins it replaces because
-    Users.UserID is the key of Users."""
+    """Portal user id -> (id, display name) of the same-named user of the new board: one table
+    that every content flow reuses.  Portal user ids are unique, so looking a user up here is the
+    same as matching names again."""
     users = m.src["users"].select("UserID", "UserName")
     y = m.board_rows("yaf_User").select(c("UserID").alias("YUserID"), c("Name").alias("YName"),
                                         c("DisplayName").alias("YDisplayName"))
@@ -81,25 +81,24 @@ def create_users(m: Migration) -> None:
         F.lit(0).alias("Points"), F.lit(0).alias("IsFacebookUser"), F.lit(0).alias("IsTwitterUser"),
         F.lit(0).alias("StyleFlags"), F.lit(0).alias("IsGoogleUser"), c("UserID").alias("_src_id"))
     m.merge("yaf_User", rows, ["BoardID", "Name"], scope=c("BoardID") == F.lit(m.board_id), id_col="UserID",
-            id_order=["Name", "_src_id"], collation=m.p.name_collation)
+            id_order=["Name", "_src_id"])
 
 
 # ------------------------------------------------------------------------- F17
 def user_profiles(m: Migration) -> None:
-    """xProfile: one scan of the EAV table turned into five columns (A5) instead of five
-    joins.  City comes from the City property (Q1 intent; the literal text joins the
-    Birthday alias again and fans out)."""
+    """One scan of the EAV table turned into five columns (A5).  A user who holds a property
+    twice gets a row per combination, as joining the table once per property would give.
+    City comes from the City property (Q1)."""
     src, s = m.src, m.scalars
     y = m.board_rows("yaf_User").select(c("UserID").alias("YUserID"), c("Name").alias("YName"))
     u = src["users"].select("UserID", "UserName", "DisplayName", "LastModifiedOnDate")
     prof = (src["af_user_profiles"].filter(c("PortalID") == F.lit(s["portal_id"]))
             .select(c("UserID").alias("PUserID"), "DateLastActivity"))
-    city_pid = s.get("cy_pid") if m.p.city_from_city_property else s.get("bd_pid")
     eav = pivot_properties(src["user_profile"], "UserID", "PropertyDefinitionID", {
         "BD": (s.get("bd_pid"), "PropertyValue"),
         "CN": (s.get("cn_pid"), "PropertyText"),
         "RG": (s.get("rg_pid"), "PropertyText"),
-        "CY": (city_pid, "PropertyValue"),
+        "CY": (s.get("cy_pid"), "PropertyValue"),
         "WS": (s.get("ws_pid"), "PropertyValue"),
     }).withColumnRenamed("UserID", "EUserID")
     x = (_name_join(y, u, "YName", "UserName", m.p.name_collation)

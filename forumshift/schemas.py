@@ -218,13 +218,21 @@ def target_schema(name: str, with_lineage: bool = False) -> T.StructType:
     return schema
 
 
-def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Column] | None = None) -> DataFrame:
-    """Project ``df`` onto ``schema``: same order, cast types, typed NULL for absent columns.
+class MissingColumns(ValueError):
+    pass
 
-    ``defaults`` gives an expression for columns the caller does not carry (constants of an
-    INSERT list).  Columns of ``df`` outside the schema are dropped.
+
+def conform(df: DataFrame, schema: T.StructType, defaults: dict[str, Column] | None = None,
+            fill: bool = False, name: str = "table") -> DataFrame:
+    """Project ``df`` onto ``schema``: same order, cast types.  A column that ``df`` lacks raises,
+    unless ``defaults`` has an expression for it or ``fill`` asks for typed NULLs.  Columns of
+    ``df`` outside the schema are dropped.
     """
     defaults = defaults or {}
+    names = {c.lower() for c in df.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in names and f.name not in defaults]
+    if absent and not fill:
+        raise MissingColumns(f"{name} lacks the columns {absent}")
     present = {c.lower(): c for c in df.columns}
     out = []
     for field in schema.fields:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -47,8 +48,8 @@ def apply_run_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, local benches) is ``fallback`` used.
-    A machine-local folder is never invented here: without either, this raises.
+    Read from the session; only when it is unset is ``fallback`` used, or in local mode, where
+    driver and tasks are one process, a scratch folder.  On a cluster this raises instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     chosen = conf or fallback
+    if not chosen and (sc.master.startswith("local[") or sc.master == "local"):
+        chosen = tempfile.mkdtemp(prefix="forumshift-")     # one process: its folder is everyone's
     if not chosen:
         raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required to cut lineage")
     sc.setCheckpointDir(chosen)

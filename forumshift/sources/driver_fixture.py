@@ -33,8 +33,7 @@ BASE_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 USER_TS = dt.datetime(2023, 6, 1, 0, 0, 0)
 EPOCH_2024 = 1704067200
 APP_GUID = "6f1c2a9e-0d4b-4c1e-9a51-3b7f0e2d8c41"
-TOPIC_FORUMS = 150            # topics and subscriptions are spread over forums 1..150
-ATTACHED_TOPICS = 20          # attachments and topic subscriptions go to topics 0..19
+LONG_NAME = "Announcements and discussions for every member of "   # 50 characters: stored names end here
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "events", "pages", "conversations")
 
@@ -70,6 +69,9 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     conv, events, pages = d["conversations"], d["events"], d["pages"]
     c = F.col
     src: dict[str, DataFrame] = {}
+    # keys are spread over all customers (one forum each) and all conversations (one topic each)
+    n_forums = customer.agg((F.max("c_custkey") + 1).alias("n")).scalar()
+    n_topics = conv.agg((F.max("conv_id") + 1).alias("n")).scalar()
 
     src["modules"] = nation.select(c("n_nationkey").alias("ModuleID"), c("n_regionkey").alias("PortalID"))
     src["portals"] = region.select(c("r_regionkey").alias("PortalID"),
@@ -88,13 +90,14 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                                                _role_id().alias("RoleID")).distinct()
     src["user_roles"] = customer.select(c("c_custkey").alias("UserID"), _role_id().alias("RoleID"))
     src["users"] = customer.select(
-        c("c_custkey").alias("UserID"), c("c_name").alias("UserName"),
+        c("c_custkey").alias("UserID"), F.when(c("c_custkey") % 50 != 13, c("c_name")).alias("UserName"),
         F.replace(c("c_name"), F.lit("Customer#"), F.lit("Member ")).alias("DisplayName"),
         F.concat(F.lower(F.replace(c("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.org")).alias("Email"),
         _int(c("c_custkey") % 100 == 0).alias("IsSuperUser"),
         _minutes(USER_TS, c("c_custkey")).alias("LastModifiedOnDate"))
-    src["aspnet_users"] = customer.select(guid_from_hex(F.md5(c("c_name"))).alias("UserId"),
-                                          c("c_name").alias("UserName"))
+    # some accounts are spelled differently: equal only under a collation (Q10)
+    account = F.when(c("c_custkey") % 16 == 3, F.concat(F.upper("c_name"), F.lit(" "))).otherwise(c("c_name"))
+    src["aspnet_users"] = customer.select(guid_from_hex(F.md5(c("c_name"))).alias("UserId"), account.alias("UserName"))
 
     cid = c("c_custkey")
     # One row per customer and property; a property a user does not have is a NULL value,
@@ -124,7 +127,12 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         cid.alias("UserID"), F.lit(6).alias("PropertyDefinitionID"),
         F.when(cid % 4 == 0, F.concat(F.lit("https://example.org/u/"), cid.cast("string"))).alias("PropertyValue"),
         F.lit(None).cast("string").alias("PropertyText"))
-    src["user_profile"] = tz.unionByName(bd).unionByName(cn).unionByName(rg).unionByName(cy).unionByName(ws)
+    # some users hold a property twice
+    cy2 = customer.filter(cid % 20 == 6).select(
+        cid.alias("UserID"), F.lit(5).alias("PropertyDefinitionID"),
+        F.when(cid % 40 == 6, F.lit("Second city")).alias("PropertyValue"), F.lit(None).cast("string").alias("PropertyText"))
+    src["user_profile"] = (tz.unionByName(bd).unionByName(cn).unionByName(rg).unionByName(cy).unionByName(cy2)
+                           .unionByName(ws))
 
     defs = [(1, 0, 99, "TimeZone"), (2, 0, 10, "Birthday"), (3, 0, 11, "Country"), (4, 0, 11, "Region"),
             (5, 0, 11, "City"), (6, 0, 11, "Website"), (7, 1, 99, "TimeZone"), (8, 1, 10, "Birthday"),
@@ -151,11 +159,15 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                                      c("n_name").alias("GroupName"), c("n_nationkey").alias("SortOrder")).unionByName(
         region.select((c("r_regionkey") + 100).alias("ForumGroupID"), (c("r_regionkey") + 1).alias("ModuleID"),
                       c("r_name").alias("GroupName"), c("r_regionkey").alias("SortOrder")))
+    # twelve forums at a time: a root, a chain of six below it, and five more right below it; two of
+    # these have names that differ only after the stored length, and some have no name
+    rank, block = cid % 12, F.floor(cid / 12)
     src["af_forums"] = customer.select(
-        (cid + 1).alias("ForumID"), (c("c_nationkey") + 1).alias("ForumGroupID"),
-        F.when(cid % 3 == 0, F.lit(0)).otherwise(cid).alias("ParentForumID"),
-        F.when(cid % 10 == 9, F.concat(c("c_name"), F.lit(" "), c("c_mktsegment"),
-                                       F.lit(" discussions and announcements"))).otherwise(c("c_name")).alias("ForumName"),
+        (cid + 1).alias("ForumID"), (block % 25 + 1).alias("ForumGroupID"),
+        F.when(rank == 0, F.lit(0)).when(rank <= 6, cid).otherwise(cid - rank + 1).alias("ParentForumID"),
+        F.when(cid % 40 == 17, F.lit(None).cast("string"))
+         .when(rank.isin(8, 9), F.concat(F.lit(LONG_NAME), F.lit("group "), c("c_mktsegment"), cid.cast("string")))
+         .otherwise(c("c_name")).alias("ForumName"),
         F.concat(F.lit("Forum of "), c("c_mktsegment"), F.lit(" customers in nation "),
                  c("c_nationkey").cast("string")).alias("ForumDesc"),
         _minutes(BASE_TS, cid).alias("LastPostDate"), (cid % 50).alias("TotalTopics"),
@@ -169,14 +181,16 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _int(k % 7 == 2).alias("IsAnnounce"), _int(k % 5 == 3).alias("IsPinned"),
         _int(k % 6 != 0).alias("IsApproved"), (F.length("text") % 1000).alias("ViewCount"))
     last = conv.groupBy("conv_id").agg(F.max("turn").alias("max_turn"))
-    src["af_forum_topics"] = last.select(
-        ((k * 7) % TOPIC_FORUMS + 1).alias("ForumID"), k.alias("TopicID"),
+    listed = last.withColumn("shift", F.explode(F.when(k % 9 == 4, F.array(F.lit(0), F.lit(14))).otherwise(
+        F.array(F.lit(0)))))                       # some topics are listed in two forums (Q14)
+    src["af_forum_topics"] = listed.select(
+        ((k * 7 + c("shift")) % n_forums + 1).alias("ForumID"), k.alias("TopicID"),
         F.when(c("max_turn") > 0, k * 100 + c("max_turn")).alias("LastReplyID"),
         (F.lit(EPOCH_2024) + k * 3600).alias("LastTopicDate"),
         (F.lit(EPOCH_2024) + k * 3600 + c("max_turn") * 300).alias("LastReplyDate"))
     src["af_content"] = conv.select(
         (k * 100 + t).alias("ContentID"),
-        F.when(c("role") == "system", F.lit(0)).otherwise(k * 7 + t).alias("AuthorID"),
+        F.when(c("role") == "system", F.lit(0)).otherwise((k * 7 + t) % n_forums).alias("AuthorID"),
         c("text").alias("Subject"), F.when(t % 2 == 0, c("text")).alias("Summary"), c("text").alias("Body"),
         _seconds(BASE_TS, k * 3600 + t * 300).alias("DateCreated"),
         F.concat(F.lit("10."), (k % 256).cast("string"), F.lit("."), t.cast("string"), F.lit(".1")).alias("IPAddress"),
@@ -186,14 +200,14 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _int(t % 5 == 4).alias("IsDeleted"), _int(t % 3 != 0).alias("IsApproved"))
     p = c("page_id")
     src["af_attachments"] = pages.select(
-        ((p % ATTACHED_TOPICS) * 100).alias("ContentID"), ((p * 7) % 150).alias("UserID"), c("url").alias("Filename"),
+        ((p % n_topics) * 100).alias("ContentID"), ((p * 7) % n_forums).alias("UserID"), c("url").alias("Filename"),
         F.encode(c("html"), "UTF-8").alias("FileData"), F.lit("text/html").alias("ContentType"),
         F.octet_length("html").alias("FileSize"))
-    src["af_forums_tracking"] = events.select((c("event_id") % TOPIC_FORUMS + 1).alias("ForumID"),
+    src["af_forums_tracking"] = events.select((c("event_id") % n_forums + 1).alias("ForumID"),
                                               c("user_id").alias("UserID"), c("ts").alias("LastAccessDate"))
-    src["af_topics_tracking"] = events.select((c("event_id") % ATTACHED_TOPICS).alias("TopicID"),
+    src["af_topics_tracking"] = events.select((c("event_id") % n_topics).alias("TopicID"),
                                               c("user_id").alias("UserID"), c("ts").alias("DateAdded"))
-    return {name: conform(df, SOURCES[name]) for name, df in src.items()}
+    return {name: conform(df, SOURCES[name], name=name) for name, df in src.items()}
 
 
 def _group_row(gid, board, name, flags, pm, sort):
@@ -261,7 +275,7 @@ def fixture_targets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit(0).alias("NumPosts"), F.lit(2).alias("Flags"), joined.alias("Joined"), joined.alias("LastVisit"))
     tgt["yaf_User"] = seed_users.unionByName(board2, allowMissingColumns=True)
     tgt["yaf_UserGroup"] = spark.createDataFrame([(1, 2), (2, 1)], TARGETS["yaf_UserGroup"])
-    out = {name: conform(df, TARGETS[name]) for name, df in tgt.items()}
+    out = {name: conform(df, TARGETS[name], fill=True) for name, df in tgt.items()}
     for name, schema in TARGETS.items():
         out.setdefault(name, empty(spark, schema))
     return out

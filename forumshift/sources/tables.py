@@ -1,9 +1,9 @@
-"""Reading and writing the migration's tables with their fixed schemas.
+"""Reading the migration's tables with their fixed schemas.
 
-Production layout: one parquet folder per table under a root (``<root>/<name>``), e.g. an
-export of the portal database.  JDBC is equally possible for the small lookup tables;
-big tables should be exported to parquet first (a JDBC read is one connection per
-partition and cannot push column pruning into an export).
+One parquet folder per table under a root (``<root>/<name>``), e.g. an export of the portal
+database.  A column that the schema names and the folder lacks raises at read time.  Targets
+keep the lineage column of an earlier run where they have one, so a second run of the same
+module is recognised.
 """
 
 from __future__ import annotations
@@ -12,17 +12,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import SOURCES, TARGETS, conform
+from ..schemas import LINEAGE, SOURCES, TARGETS, conform, target_schema
 
 
 def read_tables(spark: SparkSession, root: str, names: Iterable[str], schemas: dict | None = None,
                 fmt: str = "parquet") -> dict[str, DataFrame]:
     schemas = schemas or {**SOURCES, **TARGETS}
-    out = {}
-    for name in names:
-        df = spark.read.format(fmt).load(f"{root}/{name}")
-        out[name] = conform(df, schemas[name])
-    return out
+    return {name: conform(spark.read.format(fmt).load(f"{root}/{name}"), schemas[name], name=name) for name in names}
 
 
 def read_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -30,13 +26,9 @@ def read_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_targets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return read_tables(spark, root, TARGETS, TARGETS)
-
-
-def read_jdbc(spark: SparkSession, url: str, names: Iterable[str], properties: dict,
-              schema_prefix: str = "dbo.") -> dict[str, DataFrame]:
-    """Read tables straight from the portal database (small tables, or with partitioning
-    options such as ``partitionColumn``/``numPartitions`` in ``properties``)."""
-    schemas = {**SOURCES, **TARGETS}
-    return {name: conform(spark.read.jdbc(url, f"{schema_prefix}{name}", properties=properties), schemas[name])
-            for name in names}
+    out = {}
+    for name in TARGETS:
+        df = spark.read.parquet(f"{root}/{name}")
+        held = LINEAGE.get(name, "").lower() in {c.lower() for c in df.columns}
+        out[name] = conform(df, target_schema(name, with_lineage=held), name=name)
+    return out

@@ -1,10 +1,15 @@
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 from forumshift.__main__ import main
 from forumshift.operators.publish import read_published
-from forumshift.sources import fixture_sources, fixture_targets
-from forumshift.sources.tables import read_sources
+from forumshift.plans.migration import Migration, MigrationError
+from forumshift.schemas import MissingColumns
+from forumshift.sources import fixture_params, fixture_sources, fixture_targets
+from forumshift.sources.tables import read_sources, read_tables, read_targets
 
 
 def test_cli_reads_folders_runs_and_publishes(spark):
@@ -14,8 +19,31 @@ def test_cli_reads_folders_runs_and_publishes(spark):
     for name, df in fixture_targets(spark, SF_SMALL).items():
         df.write.parquet(f"{root}/tgt/{name}")
     assert set(read_sources(spark, f"{root}/src")) >= {"modules", "af_content"}
-    report = main(["--sources", f"{root}/src", "--targets", f"{root}/tgt", "--out", f"{root}/out",
-                   "--module-id", "0", "--tz-offset", "-60", "--upto", "F02"], spark=spark)
-    assert report["board_id"] == 6 and report["flows"] == ["F01", "F02"]
-    boards = read_published(spark, f"{root}/out")["yaf_Board"]
-    assert boards.count() == 6 and "oModuleID" not in boards.columns
+    run = ["--sources", f"{root}/src", "--targets", f"{root}/tgt", "--out", f"{root}/out", "--module-id", "0",
+           "--tz-offset", "-60"]
+    part = main([*run, "--upto", "F02"], spark=spark)
+    assert part["board_id"] == 6 and part["flows"] == ["F01", "F02"] and "run" not in part
+    report = main(run, spark=spark)
+    back = read_published(spark, f"{root}/out", report["run"])
+    assert back["yaf_Board"].count() == 6 and "oModuleID" not in back["yaf_Board"].columns
+    assert back["yaf_Message"].count() > 0
+    # only what changed is written; the input folder stays part of the table
+    assert report["tables"]["yaf_Board"][0] == f"{root}/tgt/yaf_Board" and len(report["tables"]["yaf_Board"]) == 2
+
+
+def test_lineage_of_an_earlier_run_is_kept_and_refuses_a_second(spark):
+    root = tempfile.mkdtemp(prefix="forumshift-cli-")
+    src, tgt = fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL)
+    boards = tgt["yaf_Board"].withColumn("oModuleID", F.when(F.col("BoardID") == 5, F.lit(0).cast("bigint")))
+    for name, df in {**tgt, "yaf_Board": boards}.items():
+        df.write.parquet(f"{root}/{name}")
+    with pytest.raises(MigrationError, match="already migrated"):
+        Migration(spark, src, read_targets(spark, root), fixture_params()).run(upto="F01")
+
+
+def test_a_missing_column_raises(spark):
+    root = tempfile.mkdtemp(prefix="forumshift-cli-")
+    df = fixture_sources(spark, SF_SMALL)["af_content"].withColumnRenamed("Body", "Text")
+    df.write.parquet(f"{root}/af_content")
+    with pytest.raises(MissingColumns, match="Body"):
+        read_tables(spark, root, ["af_content"])

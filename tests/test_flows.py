@@ -76,12 +76,25 @@ def test_board_and_lineage_publish(small_run, spark):
     for table, col in LINEAGE.items():
         assert col not in pub[table].columns
     root = tempfile.mkdtemp(prefix="forumshift-publish-")
-    publish(spark, {"yaf_Category": pub["yaf_Category"], "yaf_Board": pub["yaf_Board"]}, root, "r1")
-    back = read_published(spark, root)
-    assert back["yaf_Category"].count() == pub["yaf_Category"].count()
-    publish(spark, {"yaf_Board": pub["yaf_Board"].limit(1)}, root, "r2")
-    back = read_published(spark, root)
-    assert back["yaf_Board"].count() == 1 and back["yaf_Category"].count() == pub["yaf_Category"].count()
+    for name in ("yaf_Category", "yaf_Board", "yaf_Smiley"):
+        m.tgt.base_at_start[name].write.parquet(f"{root}/in/{name}")
+    changed, rewritten = m.changes()
+    assert "yaf_Board" in changed and "yaf_Smiley" not in rewritten
+    kept = {n: f"{root}/in/{n}" for n in ("yaf_Category", "yaf_Board", "yaf_Smiley")}
+    publish(spark, {n: changed[n] for n in ("yaf_Category", "yaf_Board")}, kept, f"{root}/out", "r1")
+    back = read_published(spark, f"{root}/out", "r1")
+    for name in kept:
+        want = pub[name] if name != "yaf_Smiley" else m.tgt.base_at_start[name]
+        assert back[name].count() == want.count()
+    with pytest.raises(Exception):
+        read_published(spark, f"{root}/out", "r2")       # never completed
+    with pytest.raises(Exception):
+        publish(spark, {}, kept, f"{root}/out", "r1")    # a run's status is never replaced
+
+
+def test_partial_runs_are_not_published(spark):
+    with pytest.raises(MigrationError, match="partial run"):
+        _run(spark, "F02").changes()
 
 
 # ----------------------------------------------------------------- Q-list decisions
@@ -94,30 +107,63 @@ def test_q7_fail_fast(spark, small_run):
         m2.run(upto="F01")
 
 
+FULL = dataclasses.replace(fixture_params(), forum_full_depth=True)
+
+
 def test_q3_forum_depth(spark):
     literal = _run(spark, "F27")
-    deep = _run(spark, "F27", params=dataclasses.replace(fixture_params(), forum_max_depth=2,
-                                                         match_truncated_forum_names=True))
     customers = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
-    assert literal.tgt["yaf_Forum"].count() == customers.filter("c_custkey % 3 != 2").count()
-    assert deep.tgt["yaf_Forum"].count() == customers.count()
-    # repeating the literal statement re-inserts depth-2 forums whose name exceeds 50 chars (Q4)
-    deep_literal = _run(spark, "F27", params=dataclasses.replace(fixture_params(), forum_max_depth=2))
-    long_children = customers.filter("c_custkey % 3 = 1 AND c_custkey % 10 = 9").count()
-    assert deep_literal.tgt["yaf_Forum"].count() == customers.count() + long_children
+    assert literal.tgt["yaf_Forum"].count() == customers.filter("c_custkey % 12 IN (0, 1, 7, 8, 9, 10, 11)").count()
+    deep = _run(spark, "F27", params=FULL).tgt["yaf_Forum"]
+    assert deep.count() == deep.select("oForumID").distinct().count() == customers.count()
+    twins = deep.groupBy("CategoryID", "Name").count().filter("count > 1 AND Name IS NOT NULL")
+    assert twins.count() > 0                     # names equal as far as they are stored
+
+
+def test_full_depth_reports_cycles_but_not_orphans(spark):
+    def edit(parents):
+        def change(spark, src):
+            f = src["af_forums"]
+            for forum, parent in parents.items():
+                f = f.withColumn("ParentForumID", F.when(F.col("ForumID") == forum, F.lit(parent)).otherwise(F.col("ParentForumID")))
+            src["af_forums"] = f
+        return change
+    with pytest.raises(MigrationError, match="their own ancestors"):
+        _run(spark, "F27", params=FULL, src_edit=edit({1: 3}))      # 1 -> 3 -> 2 -> 1
+    orphans = _run(spark, "F27", params=FULL, src_edit=edit({1: 999_999}))
+    assert orphans.tgt["yaf_Forum"].filter("oForumID <= 12").count() == 0
 
 
 def test_q4_untruncated_name_match(spark):
     from forumshift.plans import forums
-    m = _run(spark, "F26")
+    def edit(spark, src):
+        src["af_forums"] = src["af_forums"].withColumn("ForumName", F.when(
+            F.col("ForumID") == 1, F.lit("x" * 60)).otherwise(F.col("ForumName")))
+    m = _run(spark, "F26", src_edit=edit)
     before = m.tgt["yaf_Forum"].count()
-    forums.parent_forums(m)   # the statement again: long names never match their stored prefix
-    long_roots = m.src["af_forums"].filter("ParentForumID = 0 AND length(ForumName) > 50").count()
-    assert long_roots > 0 and m.tgt["yaf_Forum"].count() == before + long_roots
-    m2 = _run(spark, "F26", params=dataclasses.replace(fixture_params(), match_truncated_forum_names=True))
-    n2 = m2.tgt["yaf_Forum"].count()
-    forums.parent_forums(m2)
-    assert m2.tgt["yaf_Forum"].count() == n2
+    forums.parent_forums(m)   # the statement again: long names (and NULL) never match what is stored
+    again = m.src["af_forums"].filter("ParentForumID = 0 AND (length(ForumName) > 50 OR ForumName IS NULL)").count()
+    assert again > 0 and m.tgt["yaf_Forum"].count() == before + again
+
+
+def test_duplicate_properties_give_a_row_each(spark, small_run):
+    profiles = small_run.inserted_in("yaf_UserProfile", "F17")
+    assert profiles.count() > profiles.select("UserID").distinct().count()
+    assert profiles.filter("City = 'Second city'").count() > 0
+
+
+def test_numbering_carries_no_payload(spark, small_run, monkeypatch):
+    """The staged input of key assignment has none of the wide columns."""
+    seen = {}
+    store = Migration._store
+
+    def spy(self, df, label):
+        seen.setdefault(label, []).append(set(df.columns))
+        return store(self, df, label)
+    monkeypatch.setattr(Migration, "_store", spy)
+    _run(spark, "F31")
+    for table, wide in (("yaf_Message", {"Message"}), ("yaf_Topic", {"Topic", "Description"}), ("yaf_Attachment", {"FileData"})):
+        assert all(not (cols & wide) for cols in seen[f"{table}-keys"])
 
 
 def test_q14_topic_in_two_forums_and_q21_guest_user(spark):

@@ -83,13 +83,35 @@ def test_pivot_properties(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "x", "y", None), (2, None, "z", None)]
 
 
-def test_product_join_paths_agree(spark):
+def test_pivot_properties_keeps_every_combination(spark):
+    eav = spark.createDataFrame([(1, 1, "x"), (1, 1, None), (1, 2, "p"), (1, 2, "q"), (2, 1, None)], "U bigint, P bigint, V string")
+    out = pivot_properties(eav, "U", "P", {"A": (1, "V"), "B": (2, "V")})
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, [
+        (1, "x", "p"), (1, "x", "q"), (1, None, "p"), (1, None, "q"), (2, None, None)]))
+
+
+def test_product_join_is_the_plain_join(spark):
     big = spark.range(0, 500).select(F.lit(7).alias("BoardID"), F.col("id").alias("UserID"))
     small = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "BoardID int, GroupID int")
-    bcast = product_join(big, small, ["BoardID"], max_broadcast_rows=10)
-    salted = product_join(big, small, ["BoardID"], max_broadcast_rows=1, salt_buckets=8)
-    assert sorted(map(tuple, bcast.collect())) == sorted(map(tuple, salted.collect()))
-    assert bcast.count() == 1000
+    got = product_join(big, small, ["BoardID"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, big.join(small, "BoardID").collect()))
+    assert got.count() == 1000
+
+
+def test_strict_casts_do_not_depend_on_the_session(spark):
+    from forumshift.functions import to_date_strict, to_smallint
+    df = spark.createDataFrame([("abc",)], "t string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            for cast in (to_smallint, to_date_strict):
+                with pytest.raises(Exception):
+                    df.select(cast(F.col("t"))).collect()
+                assert df.select(cast(F.col("t"), tolerant=True)).first()[0] is None
+            assert df.select(to_smallint(F.lit(" ")), to_smallint(F.lit(" 7 "))).first() == (0, 7)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_collation_option_in_merge_keys(spark):
@@ -120,18 +142,17 @@ def test_not_in_operator_matches_sql_rules(spark):
         assert sorted(map(repr, not_in(a, "RoleID", values).collect())) == want
 
 
-def test_assign_ids_broadcast_offsets_path(spark, monkeypatch):
-    from forumshift.operators import keys
-    monkeypatch.setattr(keys, "MAX_LITERAL_OFFSETS", 2)      # force the broadcast-table path
+def test_collation_leaves_other_keys_alone(spark):
+    from forumshift.operators.merge import not_matched
+    tgt = spark.createDataFrame([(1, "Alice")], "B bigint, Name string")
+    src = spark.createDataFrame([(1, "ALICE "), (2, "alice")], "B bigint, Name string")
+    assert [r.B for r in not_matched(src, tgt, ["B", "Name"], collation="UTF8_LCASE_RTRIM").collect()] == [2]
+
+
+def test_assign_ids_uses_session_partitions_and_empty_tables(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("event_id", "user_id")
-    got = keys.assign_ids(ev, "id", ["user_id", "event_id"], base=3, num_partitions=6)
+    got = assign_ids(ev, "id", ["user_id", "event_id"], base=3)
     want = ev.withColumn("want", F.row_number().over(Window.orderBy("user_id", "event_id")) + 3)
     assert got.join(want, ["event_id"]).filter("id != want").count() == 0
     assert got.count() == ev.count()
-
-
-def test_estimated_partitions_follow_input_bytes(spark):
-    from forumshift.operators.keys import estimated_partitions
-    small = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    assert estimated_partitions(small) == 1
-    assert estimated_partitions(small, target_bytes=1024) > 1     # ~20 KB of input at 1 KB per partition
+    assert assign_ids(ev.limit(0), "id", ["event_id"]).count() == 0

@@ -6,7 +6,7 @@ def test_conform_casts_fills_and_drops(spark):
     out = conform(df, SOURCES["modules"])
     assert out.columns == ["ModuleID", "PortalID"]
     assert dict(out.dtypes) == {"ModuleID": "bigint", "PortalID": "bigint"}
-    row = conform(spark.createDataFrame([(1,)], "ModuleID int"), SOURCES["modules"]).first()
+    row = conform(spark.createDataFrame([(1,)], "ModuleID int"), SOURCES["modules"], fill=True).first()
     assert row.ModuleID == 1 and row.PortalID is None
 
 
