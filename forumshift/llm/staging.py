@@ -1,8 +1,7 @@
 """Written intermediates in the shared folder named by ``spark.checkpoint.dir``.
 
 A staged table is plain Parquet, so it survives lost executors and cuts lineage.  The folder
-is read from the session; only a session without one (tests, local runs) gets a folder below
-the warehouse directory, which a cluster shares as well.
+is read from the session; only a local session without one gets a scratch folder.
 """
 
 from __future__ import annotations
@@ -17,8 +16,7 @@ _MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return checkpoint_dir(spark, fallback=f"{warehouse}/_scratch").rstrip("/")
+    return checkpoint_dir(spark).rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
