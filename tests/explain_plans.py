@@ -2,9 +2,9 @@
 
     python tests/explain_plans.py /root/testdata/sf0.1 > PLANS.md
 
-Each statement's anti-join input (the rows it would insert) is captured while the
-migration runs, then explained with ``explain('formatted')``; the operator tree and the
-scan lines (pushed filters, read schema) are kept.
+What each statement stages (the rows it numbers, or writes) is captured while the migration
+runs, then explained with ``explain('formatted')``; the operator tree, the columns that go
+through range exchanges and the scan lines (pushed filters, read schema) are kept.
 """
 
 from __future__ import annotations
@@ -20,14 +20,16 @@ SHOW = {
     "F16": "users: portal users x accounts x profiles (+ zone property), anti join on (BoardID, Name)",
     "F19": "registered membership: board users x flag-4 groups through the constant BoardID (J8)",
     "F21": "role memberships: UserRoles x (roles x groups), then user_map",
-    "F29": "first posts: narrow joins, Body attached last, anti join on the lineage id",
-    "F30": "replies: narrow joins to topics / first posts / user_map, Body attached last",
+    "F28": "topics: those without a reply are split off before the last author is looked up",
+    "F29": "first posts: narrow rows are numbered; Body is attached afterwards",
+    "F30": "replies: narrow rows are numbered; Body is attached afterwards",
+    "F31": "attachments: a hash stands for the bytes until the rows are numbered",
     "F33": "forum subscriptions: visit log pre-aggregated before the id mapping",
+    "F36": "forum roll-up: only topics and messages with lineage, i.e. of this run",
 }
 
 
 def main(sf_dir: str) -> None:
-    from forumshift.operators import merge as merge_mod
     from forumshift.plans.migration import Migration
     from forumshift.session import local_test_session
     from forumshift.sources import fixture_params, fixture_sources, fixture_targets
@@ -35,26 +37,28 @@ def main(sf_dir: str) -> None:
     spark = local_test_session(checkpoint=tempfile.mkdtemp(prefix="plans-"))
     captured = {}
     m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), fixture_params())
-    original = merge_mod.not_matched
+    store = m._store
 
-    def spy(*args, **kwargs):
-        df = original(*args, **kwargs)
-        captured.setdefault(m._ctx.current, df)
-        return df
+    def spy(df, label):
+        if label not in ("content", "user_map", "topic_stats"):
+            captured.setdefault(m._ctx.current, df)
+        return store(df, label)
 
-    merge_mod.not_matched = spy
+    m._store = spy
     m.run()
-    merge_mod.not_matched = original
     jvm = spark.sparkContext._jvm
     print(f"# Physical plans of representative statements ({os.path.basename(sf_dir)}, local[8])\n")
-    print("Generated by `tests/explain_plans.py`. Each block is the plan of the rows a statement would "
-          "insert (its anti-join input), as Spark plans it before AQE re-optimises at runtime. "
-          "Scans list their pushed filters and read schema.\n")
+    print("Generated by `tests/explain_plans.py`. Each block is the plan of the rows a statement numbers "
+          "(or writes, where it numbers none), as Spark plans it before AQE re-optimises at runtime. "
+          "Range exchanges list their columns; scans list their pushed filters and read schema.\n")
     for fid, title in SHOW.items():
         text = jvm.PythonSQLUtils.explainString(captured[fid]._jdf.queryExecution(), "formatted")
         tree, rest = text.split("\n\n", 1)
         scans = re.findall(r"\(\d+\) Scan parquet[^\n]*\nOutput[^\n]*\n(?:[^\n]+\n)*?ReadSchema: [^\n]*", rest)
         print(f"## {fid} — {title}\n\n```\n{tree.strip()}\n```\n")
+        ranged = re.findall(r"Exchange\nInput \[\d+\]: ([^\n]*)\nArguments: rangepartitioning", rest)
+        for columns in ranged:
+            print("Range exchange carries: `" + re.sub(r"#\d+L?", "", columns) + "`\n")
         pushed = [ln for s in scans for ln in s.splitlines() if ln.startswith(("PushedFilters", "ReadSchema"))]
         if pushed:
             print("```\n" + "\n".join(pushed[:12]) + "\n```\n")
