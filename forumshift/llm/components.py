@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forumshift.llm.shipping import arrow_map
@@ -84,19 +84,40 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return hung.filter(F.col("u") != F.col("v")).distinct()
 
 
+def _staged(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    """The edges written and reread, in as many files as the cluster can use at once, with their
+    number and a checksum taken while writing."""
+    seen = Observation()
+    edges = edges.coalesce(4 * edges.sparkSession.sparkContext.defaultParallelism)
+    sums = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
+    out = stage(edges.observe(seen, F.count(F.lit(1)).alias("n"), sums), f"{label}-edges")
+    return out, (seen.get.get("n"), seen.get.get("sum"))
+
+
+def _round(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    return _staged(_star(_star(edges, large=True), large=False), label)
+
+
+def _first_round(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
+    edges = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u != v").distinct()
+    return _round(_staged(arrow_map(edges, _forest, edges.schema), label)[0], label)
+
+
+def hang(edges: DataFrame, label: str) -> DataFrame:
+    """One round: edges (u, v) from each linked node to a lower node of its component.  Not yet
+    the least one everywhere, but equal v always means one component."""
+    return _first_round(edges, label)[0]
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns u, v); root is the least node reachable.
 
     Nulls and self-links are ignored; repeated links do not matter; an empty table gives an
     empty result.
     """
-    edges = edges.select("u", "v").filter("u IS NOT NULL AND v IS NOT NULL AND u != v").distinct()
-    edges = arrow_map(edges, _forest, edges.schema)
-    edges = stage(edges.distinct(), f"{label}-edges")
-    mark = None
+    edges, mark = _first_round(edges, label)
     while True:
-        edges = stage(_star(_star(edges, large=True), large=False), f"{label}-edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
+        edges, now = _round(edges, label)
+        if now == mark:                      # a round that changes nothing has found all roots
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = now
