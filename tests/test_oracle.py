@@ -8,11 +8,14 @@ import __spark_entry__ as E
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """All but the training-data operators, of which SQL can express some."""
+    others = {n for n in E.queries() if n == "pipeline" or n.startswith("op")}
+    assert set(E.queries()) - others == set(E.oracle_sql()) - others
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_queries_match_oracle(spark):
-    res = compare(spark, SF_SMALL, verbose=False)
+    res = compare(spark, SF_SMALL, list(E.oracle_sql()), verbose=False)
     bad = {n: r for n, r in res.items() if not r.get("match")}
     assert not bad, bad
 
