@@ -10,7 +10,7 @@ the single-partition window that SQL form implies:
 2. stage the sorted rows once with their partition and their place in it -- range bounds are
    sampled and must not be drawn again between counting and numbering,
 3. count rows per partition and turn the counts into running offsets, a table with one row per
-   partition that is staged and joined back,
+   partition that is joined back,
 4. id = base + offset(partition) + place inside the partition.
 
 The place comes from ``monotonically_increasing_id`` evaluated right after the sort in the same
@@ -66,7 +66,7 @@ def number_rows(df: DataFrame, id_col: str, order_by: Sequence[Column | str], ba
     fixed = stage(ranged.observe(seen, F.count(F.lit(1)).alias("n")))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)     # one row per partition
     counts = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias("_fs_n"))
-    offsets = stage(counts.withColumn(_OFF, F.coalesce(F.sum("_fs_n").over(before), F.lit(0))))
+    offsets = counts.withColumn(_OFF, F.coalesce(F.sum("_fs_n").over(before), F.lit(0)))
     # an inner join: a partition without an offset would lose its rows, not reuse ids
     new_id = (base_col.cast("bigint") + F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("bigint")
     out = fixed.join(offsets.select(_PART, _OFF), _PART).withColumn(id_col, new_id)
