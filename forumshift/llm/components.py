@@ -85,17 +85,17 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def _staged(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
-    """The edges written and reread, in as many files as the cluster can use at once, with their
-    number and a checksum taken while writing."""
+    """The edges written and reread, with their number and a checksum taken while writing."""
     seen = Observation()
-    edges = edges.coalesce(4 * edges.sparkSession.sparkContext.defaultParallelism)
     sums = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
     out = stage(edges.observe(seen, F.count(F.lit(1)).alias("n"), sums), f"{label}-edges")
     return out, (seen.get.get("n"), seen.get.get("sum"))
 
 
 def _round(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
-    return _staged(_star(_star(edges, large=True), large=False), label)
+    # only edges are read here: as many files as the cluster can use at once are enough
+    few = 4 * edges.sparkSession.sparkContext.defaultParallelism
+    return _staged(_star(_star(edges, large=True), large=False).coalesce(few), label)
 
 
 def _first_round(edges: DataFrame, label: str) -> tuple[DataFrame, tuple]:
