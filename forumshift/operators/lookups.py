@@ -1,4 +1,4 @@
-"""Uncorrelated scalar lookups (``DECLARE @x = (SELECT ...)``).
+"""Uncorrelated scalar lookups: values looked up once for a whole run.
 
 All lookups of a step are resolved by ONE job: a one-row select of scalar subqueries.
 The engine enforces the reference's cardinality rule -- no row gives NULL, more than one

@@ -21,8 +21,8 @@ def _col(name: str) -> Column:
 
 # ------------------------------------------------------------------------- F01
 def resolve_run_scalars(m: Migration) -> None:
-    """``@oPortalID``, ``@DefaultTimeZoneOffset``, ``@appGuid``, the profile property ids and the
-    new board id, in one job.  Nested lookups (portal -> its definitions) stay scalar
+    """The portal, its default zone offset, the application id, the profile property ids and the
+    new board's id, in one job.  Nested lookups (portal -> its definitions) stay scalar
     subqueries inside that job.  Fails fast when the module is unknown or already migrated (Q7)."""
     src, p = m.src, m.p
     mod = F.lit(p.module_id).cast("bigint")
@@ -69,8 +69,8 @@ def resolve_run_scalars(m: Migration) -> None:
 
 # ------------------------------------------------------------------------- F02
 def create_board(m: Migration) -> None:
-    """INSERT (no key) of the module's first placement: ``TabModuleID IN (SELECT MIN ...)``
-    is a left semi join against a one-row aggregate."""
+    """The module's first placement becomes the board, whatever boards exist: a left semi join
+    with the one-row minimum of its placement ids."""
     tm = m.src["tab_modules"]
     first = (tm.filter(_col("ModuleID") == F.lit(m.p.module_id))
                .agg(F.min("TabModuleID").alias("TabModuleID")))

@@ -8,8 +8,8 @@ Each statement is executed when its flow runs, like the reference's statements:
 a merge inserts are written as parquet to the shared ``spark.checkpoint.dir`` (never a
 machine-local folder) and read back.  That cuts lineage -- a plan never grows with the
 number of statements before it --, computes every id exactly once, and a lost executor
-only recomputes the current statement.  Run scalars are resolved by one small job per
-lookup step, like ``DECLARE @x = (SELECT ...)``.
+only recomputes the current statement.  Values that hold for the whole run are looked up by
+one small job per step and enter later plans as literals.
 """
 
 from __future__ import annotations
