@@ -21,8 +21,8 @@ import pyarrow as pa
 
 from forumshift.llm.wordhash import chunks, mix, powers, text_buffers
 
-TABLE_WORDS = 3_000_000    # known chunks per worker, about 100 MB; the table starts anew beyond
-BATCH_BYTES = 4 << 20      # text per round; a longer text is a round of its own
+TABLE_WORDS = 1_200_000    # known chunks per worker, about 40 MB; the table starts anew beyond
+BATCH_BYTES = 1 << 20      # text per round; a longer text is a round of its own
 _PIECE = 500               # chunks given to the library at a time
 _VALUE = np.random.default_rng(20240301).integers(1, 1 << 63, 256, dtype=np.uint64)
 
