@@ -6,13 +6,17 @@ softmax (class, then member).  A document's score is the sum of log p(word | bot
 all its words.
 
 Words are numbered by their counts over the whole corpus: the most frequent have numbers of their
-own, the rest share ``BUCKETS`` numbers by hash.  Training passes over all documents ``ROUNDS``
+own, the rest share ``BUCKETS`` numbers by hash.  The network gives a rare word the probability of
+its shared number; the word's part of it is its count over the counts of all words of that number,
+from the whole table of word counts, which is joined by shuffling to the distinct rare words of
+every document and never gathered.  Training passes over all documents ``ROUNDS``
 times; in a round every task starts from the same network, learns from a masked eighth of the
 words of each of its documents, and returns its change.  The changes, weighted by words, are
 summed in two shuffles (blocks of the network, a bounded number of tasks each), so what is
 gathered grows with the corpus while the driver and the broadcasts see one network of fixed size.
 
 Cases: null and empty texts have no words and score 0; words beyond a text's ends are one padding
+number; a rare word that the training corpus lacks counts as one more occurrence of its shared
 number; repeated rows score alike; an empty table trains nothing and gives an empty result; other
 columns are ignored.
 """
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,16 +54,25 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
-def frequent_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def frequent_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
     """(hashes, counts) of the corpus's most frequent words, most frequent first (ties by hash);
-    the counts go on with those of the shared numbers, taken as even."""
+    the counts go on with those of the shared numbers.  And (word, n) of all other words."""
     counts = stage(arrow_map(texts, _counts, _COUNTED).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(WORDS - BUCKETS).collect()
-    rest = (counts.agg(F.sum("n")).first()[0] or 0) - sum(r.n for r in top)
     n = np.zeros(WORDS)
     n[:len(top)] = [r.n for r in top]
-    n[WORDS - BUCKETS:] = rest / BUCKETS
-    return np.array([r.word for r in top], np.int64).view(np.uint64), n
+    rare = counts.filter(F.lit(False))
+    if len(top) == WORDS - BUCKETS:
+        last = top[-1]
+        rare = counts.filter((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
+        for r in rare.groupBy(_bucket().alias("k")).agg(F.sum("n").alias("n")).collect():   # BUCKETS rows
+            n[WORDS - BUCKETS + r.k] = r.n
+    return np.array([r.word for r in top], np.int64).view(np.uint64), n, rare
+
+
+def _bucket() -> Column:
+    """Which shared number a rare word has; as ``Network.numbers``, for BUCKETS divides 2**64."""
+    return F.pmod("word", F.lit(BUCKETS))
 
 
 class Network:
@@ -79,6 +92,8 @@ class Network:
             size = math.prod(shape)
             setattr(self, name, flat[at:at + size].reshape(shape))
             at += size
+        self.rare: DataFrame | None = None             # (word, n) of the words of the shared numbers
+        self.shared = np.zeros(BUCKETS)                # their counts by shared number
         order = np.argsort(frequent)
         self.known, self.number = frequent[order], order
 
@@ -182,7 +197,7 @@ def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
 def train(texts: DataFrame) -> Network:
     """A network of the whole corpus (one column of texts)."""
     sc = texts.sparkSession.sparkContext
-    frequent, counts = frequent_words(texts)
+    frequent, counts, rare = frequent_words(texts)
     net = Network(frequent)
     net.start_from(counts)
     edges = np.linspace(0, Network.SIZE, _BLOCKS + 1).astype(int)
@@ -230,6 +245,7 @@ def train(texts: DataFrame) -> Network:
             flat[edges[r.block]:edges[r.block + 1]] += np.frombuffer(r.change, np.float32) / np.float32(r.weight)
         net = Network(frequent, flat)
         shared.unpersist()
+    net.rare, net.shared = rare, counts[WORDS - BUCKETS:]
     return net
 
 
@@ -238,10 +254,12 @@ def score(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", t
     if net is None:
         net = train(docs.select(F.col(text_col).alias("text")))
     shared = docs.sparkSession.sparkContext.broadcast((net.frequent, net.flat))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_likelihood", pa.float64())])
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_likelihood", pa.float64()),
+                        ("word", longs), ("times", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Network(*shared.value)
+        own, done = Network(*shared.value), TaskContext.get().partitionId() << 33
         for b in batches:
             raw, offsets = text_buffers(b.column(1))
             for lo, hi in chunks(offsets):
@@ -251,11 +269,37 @@ def score(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", t
                 for k in range(0, len(ids), 1 << 14):
                     s = slice(k, k + (1 << 14))
                     logs[s] = own.log_likelihood([x[s] for x in around], ids[s])
+                at, word, times = _rare_words(row, h, ids)
+                edges = pa.array(np.searchsorted(at, np.arange(hi - lo + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(lo, hi - lo), pa.array(np.bincount(row, minlength=hi - lo)),
-                    pa.array(np.bincount(row, weights=logs, minlength=hi - lo))], schema=schema)
+                    pa.array(np.arange(done, done + hi - lo)), b.column(0).slice(lo, hi - lo),
+                    pa.array(np.bincount(row, minlength=hi - lo)), pa.array(np.bincount(row, weights=logs, minlength=hi - lo)),
+                    pa.ListArray.from_arrays(edges, pa.array(word.view(np.int64))),
+                    pa.ListArray.from_arrays(edges, pa.array(times))], schema=schema)
+                done += hi - lo
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrow_map(rows, run, T.StructType([
-        T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
-        T.StructField("log_likelihood", T.DoubleType())]))
+    parts = stage(arrow_map(rows, run, T.StructType([
+        T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
+        T.StructField("log_likelihood", T.DoubleType()), T.StructField("word", T.ArrayType(T.LongType())),
+        T.StructField("times", T.ArrayType(T.LongType()))])), "lm-parts")
+    rare = parts.select("row", F.inline(F.arrays_zip("word", "times"))).join(net.rare, "word", "left")
+    shared_count = F.array(*[F.lit(float(x)) for x in net.shared])[_bucket()]
+    share = F.log(F.coalesce(F.col("n") / shared_count, 1 / (shared_count + 1)))
+    rare = rare.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_words"),
+                       (F.col("times") * share).alias("log_likelihood"))
+    return parts.select(rare.columns).union(rare).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"),
+        F.sum("log_likelihood").alias("log_likelihood")).drop("row")
+
+
+def _rare_words(row: np.ndarray, h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word, times) of the distinct words of every row that have a shared number, by row."""
+    rare = ids >= WORDS - BUCKETS
+    row, h = row[rare], h[rare]
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    return row[first], h[first], np.diff(np.append(first, len(h)))

@@ -82,6 +82,30 @@ def test_training_beats_counts_where_neighbours_tell(spark):
     assert lm_score.score(docs.limit(0)).count() == 0
 
 
+def test_rare_words_score_by_their_own_counts(spark):
+    from forumshift.llm.wordhash import text_buffers, words
+    import pyarrow as pa
+    h = words(*text_buffers(pa.array([" ".join(f"w{k}" for k in range(3000))])))[1]
+    bucket = (h % np.uint64(lm_score.BUCKETS)).astype(int)
+    one, two = np.flatnonzero(bucket == bucket[0])[:2]
+    other = [k for k in range(3000) if k not in (one, two)][:1500]
+    frequent, rare = other[:lm_score.WORDS - lm_score.BUCKETS], other[lm_score.WORDS - lm_score.BUCKETS:]
+    corpus = [" ".join(f"w{k}" for k in frequent)] * 9 + [" ".join(f"w{k}" for k in [*rare, one, one, one, one, one, two])]
+    net = lm_score.train(spark.createDataFrame([(t,) for t in corpus], "text string"))
+    texts = [f"w{one}", f"w{two}", f"w{one} w{two} w{one}", f"w{frequent[0]}", "unseen"]
+    docs = spark.createDataFrame([*enumerate(texts), (None, f"w{two}"), (1, f"w{two}")], "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.log_likelihood) for r in lm_score.score(docs, net).collect()]
+    n = {r.word: r.n for r in net.rare.collect()}
+    total = sum(c for w, c in n.items() if w % lm_score.BUCKETS == bucket[one])
+    assert len(n) == len(rare) + 2 and total == net.shared[bucket[one]] and len(got) == 7
+    score = {k: s for k, _, s in got}
+    assert abs(score[0] - score[1] - np.log(5)) < 1e-6             # one number, five times the count
+    around = [np.array([lm_score.WORDS])] * len(lm_score._OFFSETS)
+    assert abs(score[1] - net.log_likelihood(around, net.numbers(h[[one]]))[0] + np.log(total)) < 1e-5
+    assert [k for k, _, _ in got].count(1) == 2 and abs(score[None] - score[1]) < 1e-9
+    assert np.isfinite(score[4]) and dict((k, w) for k, w, _ in got)[2] == 3
+
+
 @pytest.mark.parametrize("tile", [16, 4096])
 def test_links_match_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(embeddings, "TILE", tile)
