@@ -10,8 +10,9 @@ own, the rest share ``BUCKETS`` numbers by hash.  The network gives a rare word
 its shared number; the word's part of it is its count over the counts of all words of that number,
 from the whole table of word counts, which is joined by shuffling to the distinct rare words of
 every document and never gathered.  Training passes over all documents ``ROUNDS``
-times; in a round every task starts from the same network, learns from a masked eighth of the
-words of each of its documents, and returns its change.  The changes, weighted by words, are
+times; in a round every task starts from the same network, learns from the round's share of the
+words of each of its documents, and returns its change.  The shares are disjoint and together all
+words, so every word is a target once.  The changes, weighted by words, are
 summed in two shuffles (blocks of the network, a bounded number of tasks each), so what is
 gathered grows with the corpus while the driver and the broadcasts see one network of fixed size.
 
@@ -40,7 +41,7 @@ from forumshift.llm.wordhash import chunks, mix, text_buffers, words
 SIDE = 32                      # classes, and members of a class
 WORDS = SIDE * SIDE            # numbers a word can have; WORDS itself is padding
 BUCKETS = 64
-REACH, WIDTH, ROUNDS, MASKED = 2, 24, 2, 8
+REACH, WIDTH, ROUNDS = 2, 24, 2
 _RATE, _STEP_WORDS, _BLOCKS, _FAN = 2.0, 1024, 32, 1024
 _OFFSETS = [k for k in range(-REACH, REACH + 1) if k]
 _COUNTED = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
@@ -126,9 +127,9 @@ class Network:
         return out
 
     def hidden(self, around: list[np.ndarray]) -> np.ndarray:
-        z = self.E[0][around[0]] + self.b
+        z = self.E[0].take(around[0], 0) + self.b
         for e, x in zip(self.E[1:], around[1:]):
-            z += e[x]
+            z += e.take(x, 0)
         return np.tanh(z, out=z)
 
     def log_likelihood(self, around: list[np.ndarray], target: np.ndarray) -> np.ndarray:
@@ -146,25 +147,27 @@ class Network:
 
     def learn(self, around: list[np.ndarray], target: np.ndarray, rate: float) -> None:
         """One step down the mean loss of the given windows."""
-        n = len(target)
+        n, scale = len(target), np.float32(rate)
+        order = np.argsort((target // SIDE).astype(np.int16), kind="stable")   # by class, so that a class is a slice
+        around, target = [x[order] for x in around], target[order]
         h = self.hidden(around)
         group, member = target // SIDE, target % SIDE
+        edges = np.searchsorted(group, np.arange(SIDE + 1)).tolist()
         d = _softmax(h @ self.C + self.c)
         d[np.arange(n), group] -= 1
         dh = d @ self.C.T
         new_c, new_cc = h.T @ d, d.sum(0)
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(SIDE + 1))
-        scale = np.float32(rate)
-        for g in range(SIDE):
-            own = order[edges[g]:edges[g + 1]]
-            if len(own):
-                d = _softmax(h[own] @ self.M[g] + self.m[g])
-                d[np.arange(len(own)), member[own]] -= 1
-                dh[own] += d @ self.M[g].T
-                share = scale / np.float32(np.sqrt(n * len(own)))
-                self.M[g] -= share * (h[own].T @ d)
-                self.m[g] -= share * d.sum(0)
+        own = [(g, slice(a, b)) for g, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+        d = self.m.take(group, 0)
+        for g, s in own:
+            d[s] += h[s] @ self.M[g]
+        _softmax(d)
+        d[np.arange(n), member] -= 1
+        for g, s in own:
+            dh[s] += d[s] @ self.M[g].T
+            share = scale / np.float32(math.sqrt(n * (s.stop - s.start)))
+            self.M[g] -= share * (h[s].T @ d[s])
+            self.m[g] -= share * d[s].sum(0)
         share = scale / np.float32(n)
         self.C -= share * new_c
         self.c -= share * new_cc
@@ -172,18 +175,21 @@ class Network:
         self.b -= share * dh.sum(0)
         # a word's vector moves by its own windows: their sum over the root of n times its own count
         for e, x in zip(self.E, around):
-            order = np.argsort(x, kind="stable")
+            order = np.argsort(x.astype(np.int16), kind="stable")
             ranked = x[order]
             first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            sums = np.add.reduceat(dh[order], first, axis=0)
+            sums = np.add.reduceat(dh.take(order, 0), first, axis=0)
             count = np.diff(np.append(first, n)).astype(np.float32)
             e[ranked[first]] -= scale * sums / np.sqrt(n * count)[:, None]
 
 
+_ONES = np.ones(SIDE, np.float32)           # a product sums rows faster than sum()
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x /= (x @ _ONES)[:, None]
     return x
 
 
@@ -191,7 +197,13 @@ def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
     own = x[np.arange(len(x)), at]
     np.exp(x, out=x)
-    return own - np.log(x.sum(axis=1))
+    return own - np.log(x @ _ONES)
+
+
+def targets(h: np.ndarray, turn: int) -> np.ndarray:
+    """Which words a round learns to predict; every word is in exactly one round."""
+    place = mix(np.arange(len(h)).astype(np.uint64) + h)
+    return place % np.uint64(ROUNDS) == turn
 
 
 def train(texts: DataFrame) -> Network:
@@ -216,8 +228,7 @@ def train(texts: DataFrame) -> Network:
                 for lo, hi in chunks(offsets):
                     row, h = words(raw, offsets[lo:hi + 1])
                     ids = own.numbers(h)
-                    place = mix(np.arange(len(h)).astype(np.uint64) + h + np.uint64(turn))
-                    masked = np.flatnonzero(place % np.uint64(MASKED) == 0)
+                    masked = np.flatnonzero(targets(h, turn))
                     around = own.windows(row, ids)
                     for k in range(0, len(masked), _STEP_WORDS):
                         at = masked[k:k + _STEP_WORDS]

@@ -106,6 +106,46 @@ def test_rare_words_score_by_their_own_counts(spark):
     assert np.isfinite(score[4]) and dict((k, w) for k, w, _ in got)[2] == 3
 
 
+def test_every_word_is_a_target_once():
+    h = np.random.default_rng(4).integers(0, 9, 5000).astype(np.uint64)
+    rounds = [lm_score.targets(h, k) for k in range(lm_score.ROUNDS)]
+    assert (sum(x.astype(int) for x in rounds) == 1).all() and all(x.any() for x in rounds)
+
+
+def test_learning_step():
+    """A step as before, class by class: the change of every parameter from its definition."""
+    r = np.random.default_rng(6)
+    net = lm_score.Network(np.arange(10, dtype=np.uint64))
+    net.flat[:] = r.normal(0, 0.3, len(net.flat))
+    old = lm_score.Network(net.frequent, net.flat.copy())
+    target = r.choice([0, 1, 5, 33, 70, 1000, 1023], 300)
+    around = [r.integers(0, lm_score.WORDS + 1, 300) for _ in lm_score._OFFSETS]
+    net.learn(around, target, 0.5)
+    n, g, m = len(target), target // lm_score.SIDE, target % lm_score.SIDE
+    h = np.tanh(sum(e[x] for e, x in zip(old.E, around)) + old.b)
+
+    def error(logits, at):
+        p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
+        p[np.arange(n), at] -= 1
+        return p
+
+    d = error(h @ old.C + old.c, g)
+    dm = error(np.einsum("nw,nws->ns", h, old.M[g]) + old.m[g], m)
+    dh = (d @ old.C.T + np.einsum("ns,nws->nw", dm, old.M[g])) * (1 - h * h)
+    want = lm_score.Network(old.frequent, old.flat.copy())
+    want.C -= 0.5 / n * (h.T @ d)
+    want.c -= 0.5 / n * d.sum(0)
+    want.b -= 0.5 / n * dh.sum(0)
+    for k in set(g.tolist()):
+        own = g == k
+        want.M[k] -= 0.5 / np.sqrt(n * own.sum()) * (h[own].T @ dm[own])
+        want.m[k] -= 0.5 / np.sqrt(n * own.sum()) * dm[own].sum(0)
+    for e, x in zip(want.E, around):
+        for w in set(x.tolist()):
+            e[w] -= 0.5 * dh[x == w].sum(0) / np.sqrt(n * (x == w).sum())
+    assert np.abs(net.flat - want.flat).max() < 1e-4 and np.abs(net.flat - old.flat).max() > 1e-2
+
+
 @pytest.mark.parametrize("tile", [16, 4096])
 def test_links_match_brute_force(spark, monkeypatch, tile):
     monkeypatch.setattr(embeddings, "TILE", tile)
