@@ -117,8 +117,9 @@ class SuffixAutomaton:
                 up = self.shorts[self.link[s]] if s else ()
                 self.shorts[s] = up + tuple(own[s]) if s in own else up
 
-    def scan(self, ws: list[bytes]) -> tuple[list[tuple[int, int, int]], set[str]]:
-        """([(first hit word, end, longest match in it)], items): maximal runs of hit words."""
+    def scan(self, ws: list[bytes]) -> tuple[list[tuple[int, int, int, bool]], set[str]]:
+        """([(first hit word, end, longest match in it, whether it holds a whole short item)], items):
+        maximal runs of hit words."""
         spans: list[list[int]] = []
         found: set[str] = set()
         if not self.vocab or len(ws) < self.shortest:
@@ -138,24 +139,26 @@ class SuffixAutomaton:
                 n = length[s]
             s = nxt[s].get(t, 0)
             n = n + 1 if s else 0
-            size = 0
+            size, whole = 0, False
             if n >= w:
                 size = w
                 found |= self.items[self.holder[s]]
             if shorts[s]:
                 for k, item in shorts[s]:
                     if k <= n:
-                        size = max(size, k)
+                        size, whole = max(size, k), True
                         found.add(item)
             if size:
                 if spans and spans[-1][1] >= i - size:
                     spans[-1][1], spans[-1][2] = i, max(spans[-1][2], n)
                     spans[-1][0] = min(spans[-1][0], i - size)
+                    spans[-1][3] |= whole
                 else:
-                    spans.append([i - size, i, n])
+                    spans.append([i - size, i, n, whole])
                 while len(spans) > 1 and spans[-2][1] >= spans[-1][0]:
-                    a, b, k = spans.pop()
-                    spans[-1] = [min(spans[-1][0], a), max(spans[-1][1], b), max(spans[-1][2], k)]
+                    a, b, k, whole = spans.pop()
+                    last = spans[-1]
+                    spans[-1] = [min(last[0], a), max(last[1], b), max(last[2], k), last[3] or whole]
 
 
 def automata(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text"):
@@ -174,7 +177,7 @@ def _scanner(shared: list, window: int):
     """Built once per Python worker and benchmark, not once per task."""
     made = [_cached(*b.value, window) for b in shared]
 
-    def scan(ws: list[bytes]) -> tuple[list[tuple[int, int, int]], set[str]]:
+    def scan(ws: list[bytes]) -> tuple[list[tuple[int, int, int, bool]], set[str]]:
         spans, found = [], set()
         for a in made:
             s, f = a.scan(ws)
@@ -199,11 +202,11 @@ def _cached(key: str, items: list, window: int) -> SuffixAutomaton:
 
 def _merged(spans):
     out = []
-    for a, b, n in sorted(spans):
+    for a, b, n, whole in sorted(spans):
         if out and out[-1][1] >= a:
-            out[-1] = (out[-1][0], max(b, out[-1][1]), max(n, out[-1][2]))
+            out[-1] = (out[-1][0], max(b, out[-1][1]), max(n, out[-1][2]), out[-1][3] or whole)
         else:
-            out.append((a, b, n))
+            out.append((a, b, n, whole))
     return out
 
 
@@ -218,7 +221,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: st
         def one(text: str) -> tuple:
             ws = words_of(text)
             spans, found = scan(ws)
-            return (len(ws), sum(b - a for a, b, _ in spans), max((n for *_, n in spans), default=0), sorted(found))
+            return (len(ws), sum(x[1] - x[0] for x in spans), max((x[2] for x in spans), default=0), sorted(found))
         return one
 
     return per_text(docs, id_col, text_col, [
@@ -229,7 +232,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: st
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_match: int = 10,
                   max_coverage: float = 0.8, text_col: str = "text") -> DataFrame:
     """``docs`` without benchmark text: hit spans whose longest match reaches ``max_match`` words
-    (or a whole shorter item) are cut out, and documents of which more than ``max_coverage`` of
+    or that hold a whole item shorter than the window are cut out, and documents of which more than ``max_coverage`` of
     the words are hit are dropped."""
     shared = list(automata(benchmark, window))
 
@@ -239,14 +242,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_m
         def one(text: str | None) -> str | None:
             ws = words_of(text)
             spans, _ = scan(ws)
-            spans = [x for x in spans if x[2] >= max_match or x[1] - x[0] < window]
+            spans = [x for x in spans if x[2] >= max_match or x[3]]
             if not spans:
                 return text
-            if sum(b - a for a, b, _ in spans) > max_coverage * len(ws):
+            if sum(x[1] - x[0] for x in spans) > max_coverage * len(ws):
                 return None
             at = [m.span() for m in _WORD.finditer(text)]
             out, done = [], 0
-            for a, b, _ in spans:
+            for a, b, *_ in spans:
                 out.append(text[done:at[a][0]])
                 done = at[b - 1][1]
             return "".join(out) + text[done:]

@@ -47,6 +47,18 @@ def test_cleaning_cuts_spans_and_drops_copies(spark):
                                                        (4, "two three", "s", 9)]
 
 
+@pytest.mark.parametrize("group", [32_000_000, 20])
+def test_adjacent_and_repeated_short_items_are_cut(spark, monkeypatch, group):
+    monkeypatch.setattr(decontaminate, "GROUP_CHARS", group)
+    one, two = "who wrote the old red book", "where does this river meet another"
+    tail = " and nothing else of note" * 4
+    docs = spark.createDataFrame([(1, f"{one} {two}{tail}"), (2, f"{one} {one} {one}{tail}"), (3, one + tail),
+                                  (4, f"{one} {two}"), (5, "who wrote the old" + tail)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    got = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, items).collect()}
+    assert got == {1: tail, 2: tail, 3: tail, 5: "who wrote the old" + tail}
+
+
 def test_anchors_match_patterns():
     r, finder = random.Random(1), pii.Finder()
     pools = ["a@.-+", "0123456789", "0123456789 .-", "+ ()", "a1b.c@d.e", "1.2.", "é\n "]
