@@ -13,8 +13,9 @@ permutations give 2N signature values.  Bands of ``ROWS`` values are bucket keys
    returns a spanning forest of the links it confirms;
 5. components over the confirmed links.
 
-Recall of a pair of similarity s is 1 - (1 - s**ROWS)**BANDS: a miss has probability 3e-6 at
-s = 0.8.  The sketch bound lies five standard deviations below the threshold.
+The bands miss a pair of similarity s with probability (1 - s**ROWS)**BANDS, 3.2e-6 at s = 0.8.
+The sketch bound lies seven standard deviations below the threshold and adds 2e-9 if the bits are
+independent, so that a miss has probability 3.2e-6 in all.
 
 Cases: null and blank texts have an empty set, link with nothing and are their own component;
 repeated rows fall into one class; columns other than id and text are ignored; an empty table
@@ -129,13 +130,13 @@ def _sets(width: int):
 
 
 def _most_differing(percent: int) -> int:
-    """Sketch bits in which a linked pair may differ: five standard deviations above the mean."""
+    """Sketch bits in which a linked pair may differ: seven standard deviations above the mean."""
     agree, bits = (1 + percent / 100) / 2, 2 * PERMUTATIONS
-    return int(bits * (1 - agree) + 5 * math.sqrt(bits * agree * (1 - agree)))
+    return int(bits * (1 - agree) + 7 * math.sqrt(bits * agree * (1 - agree)))
 
 
 def _plausible(percent: int):
-    """Bounds a pair must pass before its sets are read: exact on sizes, five sigma on sketches."""
+    """Bounds a pair must pass before its sets are read: exact on sizes, seven sigma on sketches."""
     differ = F.bit_count(F.col("sk0").bitwiseXOR(F.col("o_sk0"))) + F.bit_count(
         F.col("sk1").bitwiseXOR(F.col("o_sk1")))
     small, large = F.least("n", "o_n"), F.greatest("n", "o_n")

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -65,3 +66,9 @@ def test_components_of_chains_and_hubs(spark):
     low = labels(1000, links)
     touched = {x for a, b in links if a != b for x in (a, b)}
     assert {k: got.get(k, k) for k in touched} == {k: low[k] for k in touched}
+
+
+def test_sketches_lose_far_less_than_bands():
+    bits, most = 2 * minhash.PERMUTATIONS, minhash._most_differing(80)
+    lost = sum(math.comb(bits, k) * 0.1 ** k * 0.9 ** (bits - k) for k in range(most + 1, bits + 1))
+    assert lost < (1 - 0.8 ** minhash.ROWS) ** minhash.BANDS / 1000
