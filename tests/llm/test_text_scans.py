@@ -95,3 +95,11 @@ def test_licences(spark):
     assert got == [(0, "Apache-2.0", "Apache-2.0", 1), (1, "MIT", "MIT", 0), (2, None, "MIT", 1), (3, None, "", 0),
                    (4, "CC-BY-NC-4.0", "CC-BY-NC-4.0", 1), (4, "CC-BY-NC-4.0", "CC-BY-NC-4.0", 1), (5, None, "", 0)]
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_entire_texts_of_common_licences(spark):
+    texts = [(k, t) for k, t in licenses.KNOWN if t.count("\n") > 3]
+    docs = spark.createDataFrame([(n, f"Copyright (c) 2021, A. Body\n\n{t}") for n, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.whole_text for r in licenses.scan(docs).collect()}
+    assert got == {n: k for n, (k, _) in enumerate(texts)}
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0"} <= set(got.values())
