@@ -8,8 +8,10 @@ words are streamed.
 
 Words are runs of digits, letters a-z (A-Z lower-cased) and characters from U+0080 on.
 
-The automaton grows with the benchmark, so its size is checked: items are split into groups of
-at most ``GROUP_CHARS`` characters, and each further group is another pass over the documents.
+Items are split by hash into groups of about ``GROUP_CHARS`` characters, one automaton each.  The
+bound is a group's: all groups pass through the driver one after the other, all are broadcast, and
+every Python worker holds the automata of all of them and scans each document with each.  So the
+whole benchmark must fit in a worker's memory.
 
 Cases: null and empty texts have no words and are never hit; an item without words has no
 window; repeated items count once per item id; an empty benchmark hits nothing; other columns
