@@ -115,5 +115,26 @@ LICENSES = f"""WITH
 SELECT doc_id, whole_text, coalesce(licenses, '') AS licenses, coalesce(n_notices, 0) AS n_notices
 FROM documents LEFT JOIN found USING (doc_id)"""
 
+_LANGS = "coalesce(lang, 'und')"
+COLLOCATIONS = f"""WITH
+    piece AS (SELECT {_LANGS} AS lang, unnest(string_split_regex({_fold('text')}, '[.,;:!?\\x0A-\\x0D]')) AS t FROM documents),
+    said AS (SELECT lang, regexp_extract_all(t, '[^\\x20\\x09]+') AS w FROM piece),
+    size AS (SELECT lang, sum(len(w)) AS n FROM said GROUP BY lang),
+    place AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM said, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+    phrase AS (SELECT lang, k, list_slice(w, p, p + k - 1) AS w, count(*) AS f FROM place GROUP BY ALL HAVING count(*) >= 100),
+    cut AS (SELECT c.lang, c.w, c.k, c.f AS a, x.f AS l, y.f AS r, x.k AS j,
+            (1000::HUGEINT * c.f * size.n) // (x.f::HUGEINT * y.f) AS score
+        FROM phrase c JOIN size USING (lang)
+        JOIN phrase x ON x.lang = c.lang AND x.k < c.k AND x.w = list_slice(c.w, 1, x.k)
+        JOIN phrase y ON y.lang = c.lang AND y.k = c.k - x.k AND y.w = list_slice(c.w, x.k + 1, c.k)),
+    scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, j) = 1),
+    part AS (SELECT DISTINCT lang, list_slice(w, i, i + m - 1) AS w, f FROM phrase, (SELECT unnest(range(2, 5)) AS m),
+        (SELECT unnest(range(1, 5)) AS i) WHERE m < k AND i + m - 1 <= k),
+    within AS (SELECT lang, w, max(f) AS most FROM part GROUP BY ALL),
+    kept AS (SELECT scored.* FROM scored LEFT JOIN within USING (lang, w) WHERE most IS NULL OR 100 * most < 100 * a),
+    named AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM kept),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN size USING (lang) WHERE rank <= 2000"""
+
 ORACLE = {"op1_minhash": MINHASH, "op2_decontaminate": DECONTAMINATE, "op6_embeddings": EMBEDDINGS, "op7_chat": CHAT,
-          "op8_licenses": LICENSES}
+          "op8_licenses": LICENSES, "op11_collocations": COLLOCATIONS}

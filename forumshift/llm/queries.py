@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumshift.llm import chat, decontaminate, embeddings, licenses, lm_score, minhash, packing, pii, quality, token_store
+from forumshift.llm import chat, collocations, decontaminate, embeddings, licenses, lm_score, minhash, packing, pii, quality, token_store
 from forumshift.llm.oracle import ORACLE
 
 
@@ -100,6 +100,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), min_count=100, longest=5, percent=100, top=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -109,7 +113,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": pipeline, "op1_minhash": op1_minhash, "op2_decontaminate": op2_decontaminate, "op3_lm_score": op3_lm_score, "op4_quality": op4_quality,
             "op5_packing": op5_packing,
             "op6_embeddings": op6_embeddings, "op7_chat": op7_chat, "op8_licenses": op8_licenses,
-            "op9_pii": op9_pii, "op10_token_store": op10_token_store}
+            "op9_pii": op9_pii, "op10_token_store": op10_token_store,
+            "op11_collocations": op11_collocations}
 
 
 def oracle_sql() -> dict[str, str]:

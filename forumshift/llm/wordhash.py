@@ -92,6 +92,17 @@ def words_at(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.searchsorted(offsets - base, starts, side="right") - 1, starts, ends, hashes
 
 
+def byte_hashes(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hash of each string of a column; a word's is the same as in ``words``."""
+    base = offsets[0]
+    buf = raw[base:offsets[-1]]
+    up, down = powers(len(buf) + 1)
+    total = np.zeros(len(buf) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[buf] * up[:len(buf)], out=total[1:])
+    at = offsets - base
+    return mix((total[at[1:]] - total[at[:-1]]) * down[at[:-1]])
+
+
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every word of consecutive rows, in order."""
     row, _, _, hashes = words_at(raw, offsets)
