@@ -136,5 +136,75 @@ COLLOCATIONS = f"""WITH
     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named)
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN size USING (lang) WHERE rank <= 2000"""
 
+SUBSTRINGS = """WITH
+    doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    place AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 18), lambda s: {'s': s, 'p': array_to_string(w[s:s + 19], ' ')})) AS x
+        FROM doc WHERE len(w) >= 20),
+    repeat AS (SELECT doc_id, x.s AS s FROM place QUALIFY row_number() OVER (PARTITION BY x.p ORDER BY doc_id, x.s) > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM repeat),
+    word AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS k FROM doc),
+    kept AS (SELECT doc_id, string_agg(t, ' ' ORDER BY k) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+
+
+def _repair() -> str:
+    """Row by row from the last, the best (cost, letters) from each of four states: the start, after s,
+    after u, after a; two turns at most are worth putting in at one place."""
+    reads = {0: [("s", 1), ("u", 2)], 1: [("u", 2)], 2: [("a", 3)], 3: [("u", 2)]}
+    state = "b[{}]"
+    put_in = "[" + ", ".join(
+        "list_min([" + ", ".join([state.format(q + 1)] + [f"{{'c': b[{t + 1}].c + 2, 'x': 'I' || b[{t + 1}].x}}"
+                                                         for x, t in xs if x != "s"]) + "])" for q, xs in reads.items()) + "]"
+    edits = []
+    for q, xs in reads.items():
+        ways = [f"{{'c': b[{q + 1}].c + 3, 'x': 'D' || b[{q + 1}].x}}"]
+        for x, t in xs:
+            other = "1000000" if x == "s" else "2"
+            cost = f"b[{t + 1}].c + CAST(cutoff AS INT) + CASE WHEN must_go THEN 1000000 WHEN initial = '{x}' THEN 0 ELSE {other} END"
+            ways.append(f"{{'c': {cost}, 'x': CASE WHEN initial = '{x}' THEN 'K' ELSE 'R' END || b[{t + 1}].x}}")
+        edits.append(f"list_min([{', '.join(ways)}])")
+    start = "[{'c': 0, 'x': ''}, {'c': 1000000, 'x': ''}, {'c': 1000000, 'x': ''}, {'c': 0, 'x': ''}]"
+    table = "list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), " \
+            "lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+    return f"""WITH RECURSIVE
+    crc AS (SELECT {table} AS t),
+    given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295],
+            list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda x: CAST(ascii(x) AS BIGINT))), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS h
+        FROM conversations, crc),
+    damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE WHEN h = 1 THEN ''
+            WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM given),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k FROM damaged),
+    seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) AS nth, left(role, 1) AS initial,
+            lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS after,
+            right(regexp_replace(text, '[\\x20\\x09-\\x0D]+$', ''), 1) AS ending FROM placed),
+    fault AS (SELECT *, ending = '' OR nth > 1 AS must_go, ending NOT IN ('', '.', '!', '?') AND nth = 1 AS cutoff FROM seen),
+    counted AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps,
+            count(*) FILTER (WHERE ending = '') AS blank, count(*) FILTER (WHERE ending <> '' AND nth > 1) AS duplicate,
+            count(*) FILTER (WHERE cutoff) AS truncated,
+            count(*) FILTER (WHERE after IS NOT NULL AND initial || after NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n
+        FROM fault GROUP BY conv_id),
+    step AS (SELECT conv_id, n AS k, {put_in} AS b FROM (SELECT conv_id, n, {put_in} AS b FROM (SELECT conv_id, n, {start} AS b FROM counted))
+        UNION ALL
+        SELECT conv_id, k, {put_in} FROM (SELECT conv_id, k, {put_in} AS b FROM (SELECT conv_id, k - 1 AS k, [{', '.join(edits)}] AS b
+            FROM step JOIN fault USING (conv_id, k)))),
+    best AS (SELECT conv_id, b[1].c AS cost, b[1].x AS audit FROM step WHERE k = 0),
+    letter AS (SELECT *, count(*) FILTER (WHERE l <> 'I') OVER told AS k, count(*) FILTER (WHERE l <> 'D') OVER told AS j,
+            count(*) FILTER (WHERE l <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd
+        FROM (SELECT conv_id, unnest(string_split(audit, '')) AS l, unnest(range(length(audit))) AS i FROM best WHERE audit <> '')
+        WINDOW told AS (PARTITION BY conv_id ORDER BY i)),
+    repaired AS (SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN fault.role WHEN (j - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+            CASE WHEN l = 'I' THEN '' ELSE fault.text END, chr(10) ORDER BY i) AS t
+        FROM letter LEFT JOIN fault USING (conv_id, k) WHERE l <> 'D' GROUP BY conv_id)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN counted USING (conv_id) LEFT JOIN best USING (conv_id)
+    LEFT JOIN repaired USING (conv_id)"""
+
+
 ORACLE = {"op1_minhash": MINHASH, "op2_decontaminate": DECONTAMINATE, "op6_embeddings": EMBEDDINGS, "op7_chat": CHAT,
-          "op8_licenses": LICENSES, "op11_collocations": COLLOCATIONS}
+          "op8_licenses": LICENSES, "op11_collocations": COLLOCATIONS, "op12_substrings": SUBSTRINGS,
+          "op13_repair": _repair()}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumshift.llm import chat, collocations, decontaminate, embeddings, licenses, lm_score, minhash, packing, pii, quality, token_store
+from forumshift.llm import (
+    chat, collocations, decontaminate, embeddings, licenses, lm_score, minhash, packing, pii, quality, repair, substrings, token_store)
 from forumshift.llm.oracle import ORACLE
 
 
@@ -104,6 +105,33 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"), min_count=100, longest=5, percent=100, top=2000)
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The turns with faults put in by the checksum of their key: dropped, emptied, cut, repeated or
+    given the role user."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"),
+                        (F.crc32(key) % 20).alias("h")).filter("h != 0")
+    text = F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("h") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    done = repair.Repair(damaged(turns))
+    rows = turns.select(F.col("conv_id").alias("id")).distinct().join(done.report, F.expr("id <=> conv_id"), "left")
+    rows = rows.drop("conv_id").join(repair.digests(done.turns), F.expr("id <=> conv_id"), "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return rows.select(F.col("id").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                       F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -114,7 +142,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "op5_packing": op5_packing,
             "op6_embeddings": op6_embeddings, "op7_chat": op7_chat, "op8_licenses": op8_licenses,
             "op9_pii": op9_pii, "op10_token_store": op10_token_store,
-            "op11_collocations": op11_collocations}
+            "op11_collocations": op11_collocations,
+            "op12_substrings": op12_substrings, "op13_repair": op13_repair}
 
 
 def oracle_sql() -> dict[str, str]:
