@@ -2,11 +2,13 @@
 
 J8 "board-scoped products": several statements join tables only through ``BoardID`` after
 both sides are restricted to one board, i.e. every row of the big side meets every row of
-the small side under ONE key value.  A shuffle join would send the whole big side to a
-single reducer.  ``product_join`` replicates the small side over as many salt values as the
-session has shuffle partitions, and the big side takes a salt by hash, so the hot key is
-spread over all tasks.  A small side of few bytes is broadcast by Spark's own size check
-(``spark.sql.autoBroadcastJoinThreshold``), salted or not.
+the small side under ONE key value.  J2 names and roles are skewed likewise.  A shuffle join
+would send the rows of such a key to a single reducer.
+
+``spread_join`` measures first: one pass counts the big side's rows by key (pre-aggregated, keys
+only), and the keys with ``1/HEAVY_SHARE`` of the rows or more -- at most HEAVY_SHARE of them,
+so their table is broadcast -- are spread over as many lanes as their share asks for.  Rows of
+the other side are copied once per lane of their key; all other keys have one lane and no copies.
 
 The result is exactly the plain inner join; nothing is dropped or capped.
 """
@@ -18,14 +20,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_fs_salt"
+HEAVY_SHARE = 1000
+LEAST_ROWS = 1000              # a key of fewer rows is a small task wherever it is
+_LANES, _LANE, _ROWS = "_fs_lanes", "_fs_lane", "_fs_rows"
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], lanes: int | None = None) -> list[tuple]:
+    """(*key, lanes) of the keys that hold 1/HEAVY_SHARE of the rows or more, and LEAST_ROWS; ``lanes``
+    (by default the session's shuffle partitions) are dealt out by share.  NULL keys match nothing."""
+    lanes = lanes or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias(_ROWS))
+    for c in on:
+        counts = counts.filter(F.col(c).isNotNull())
+    # at most HEAVY_SHARE rows can pass the final test, and the largest are the ones that do
+    top = counts.orderBy(F.desc(_ROWS)).limit(HEAVY_SHARE).collect()
+    top = [r for r in top if r[_ROWS] >= LEAST_ROWS]
+    if not top:
+        return []
+    total = df.count()
+    return [(*[r[c] for c in on], max(2, -(-r[_ROWS] * lanes // total)))
+            for r in top if r[_ROWS] * HEAVY_SHARE >= total]
+
+
+def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """``big`` JOIN ``small`` USING (on), heavy keys of ``big`` spread over lanes."""
+    on = list(on)
+    heavy = heavy_keys(big, on)
+    if not heavy:
+        return big.join(small, on)
+    keys = big.select(*on).schema.add(_LANES, "long")
+    table = F.broadcast(big.sparkSession.createDataFrame(heavy, keys))
+    lane = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.coalesce(_LANES, F.lit(1)))
+    many = big.join(table, on, "left").withColumn(_LANE, lane).drop(_LANES)
+    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(_LANES, F.lit(1).cast("long")) - 1))
+    few = small.join(table, on, "left").withColumn(_LANE, copies).drop(_LANES)
+    return many.join(few, on + [_LANE]).drop(_LANE)
 
 
 def product_join(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
-    salts = max(1, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted_small = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted_big = big.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
-    return salted_big.join(salted_small, list(on) + [_SALT], "inner").drop(_SALT)
+    """A join whose key has few values (J8): the same as ``spread_join``."""
+    return spread_join(big, small, on)
 
 
 def not_in(left: DataFrame, column: str, values: DataFrame, value_col: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import shift_minutes
 from ..functions.text import left
+from ..operators.joins import spread_join
+from ..operators.tree import resolve
 from .migration import Migration, MigrationError
 
 c = F.col
@@ -30,8 +32,9 @@ def _forum_source(m: Migration) -> DataFrame:
     return f.join(cats, f.ForumGroupID == cats.oGroupID)
 
 
-def _forum_rows(m: Migration, df: DataFrame, parent) -> DataFrame:
+def _forum_rows(m: Migration, df: DataFrame, parent, *more) -> DataFrame:
     return df.select(
+        *more,
         "CategoryID", parent.alias("ParentID"), left("ForumName", 50).alias("Name"),
         left("ForumDesc", 255).alias("Description"), "SortOrder",
         shift_minutes("LastPostDate", m.p.tz_offset_min, m.p.source_tz).alias("LastPosted"),
@@ -43,7 +46,7 @@ def _forum_rows(m: Migration, df: DataFrame, parent) -> DataFrame:
 def _children(m: Migration, parents: DataFrame) -> DataFrame:
     """Source forums right below ``parents`` (ForumID, oForumID of migrated forums)."""
     above = parents.select(c("ForumID").alias("PForumID"), c("oForumID").alias("POForumID"))
-    src = _forum_source(m)
+    src = m.absent(_forum_source(m), "ForumID", "yaf_Forum")
     return _forum_rows(m, src.join(above, src.ParentForumID == above.POForumID), c("PForumID"))
 
 
@@ -53,43 +56,44 @@ def _merge_by_name(m: Migration, rows: DataFrame) -> DataFrame:
                    id_col="ForumID", id_order=["oForumID", "CategoryID"])
 
 
-def _merge_by_lineage(m: Migration, rows: DataFrame) -> DataFrame:
-    return m.merge("yaf_Forum", rows, ["oForumID"], id_col="ForumID", id_order=["oForumID", "CategoryID"])
-
-
 def parent_forums(m: Migration) -> None:
     """root forums (ParentForumID = 0)."""
-    _merge_by_name(m, _forum_rows(m, _forum_source(m).filter(c("ParentForumID") == F.lit(0)),
-                                  F.lit(None).cast("bigint")))
+    roots = m.absent(_forum_source(m).filter(c("ParentForumID") == F.lit(0)), "ForumID", "yaf_Forum")
+    _merge_by_name(m, _forum_rows(m, roots, F.lit(None).cast("bigint")))
 
 
 def child_forums(m: Migration) -> None:
     """forums whose parent was migrated *before* the statement (one hop, J7).
 
     The reference runs the hop once and matches names, so deeper forums are not migrated (Q3).
-    With ``forum_full_depth`` the hop repeats from the forums it has just inserted until it
-    inserts none, matching source ids: no depth and no equal name loses a forum."""
+    With ``forum_full_depth`` all levels are migrated at once, matching source ids: no depth and
+    no equal name loses a forum."""
     migrated = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull())
-    if not m.p.forum_full_depth:
-        _merge_by_name(m, _children(m, migrated))
-        return
-    below = _merge_by_lineage(m, _children(m, migrated))
-    while not below.isEmpty():
-        below = _merge_by_lineage(m, _children(m, below))
-    _check_no_cycle(m)
-
-
-def _check_no_cycle(m: Migration) -> None:
-    """Forums left out must hang below a forum that does not exist; peeling those off from the
-    top leaves only forums in, or below, a cycle of parents."""
-    done = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull()).select(c("oForumID").alias("ForumID"))
-    left_out = m._store(_forum_source(m).select("ForumID", "ParentForumID").join(done, "ForumID", "left_anti"), "left_out")
-    n, before = left_out.count(), None
-    while n and n != before:
-        before = n
-        above = left_out.select(c("ForumID").alias("ParentForumID")).distinct()
-        left_out = m._store(left_out.join(above, "ParentForumID", "left_semi"), "left_out")
-        n = left_out.count()
-    if n:
-        some = [r.ForumID for r in left_out.orderBy("ForumID").limit(10).collect()]
-        raise MigrationError(f"{n} forums are their own ancestors or below such forums, e.g. {some}")
+    if m.p.forum_full_depth:
+        _descendants(m, migrated)
+    else:
+        # the statement sees the roots: those of this run, and in a resumed run the earlier ones
+        _merge_by_name(m, _children(m, migrated.filter(c("ParentID").isNull())))
+
+
+def _descendants(m: Migration, migrated: DataFrame) -> None:
+    """Every forum below a migrated root.  Levels come from pointer doubling (about log2(depth) rounds),
+    so the rows are numbered once, by level and source id, and then find their parents' new ids."""
+    src = m._store(_forum_source(m).select("ForumID", "ParentForumID").distinct(), "forum-links")
+    tree = resolve(src, "ForumID", "ParentForumID", c("ParentForumID") == F.lit(0), lambda df: m._store(df, "forum-tree"))
+    m.tree_rounds = tree.rounds
+    cyclic = m._store(tree.cyclic, "forum-cycles")
+    some = [r.id for r in cyclic.orderBy("id").limit(10).collect()]
+    if some:
+        raise MigrationError(f"{cyclic.count()} forums are their own ancestors or below such forums, e.g. {some}")
+    ids = migrated.select(c("oForumID").alias("_old"), c("ForumID").alias("_new"))
+    below = tree.nodes.filter("level > 0").join(ids, c("root") == c("_old"), "left_semi")
+    forums = _forum_source(m).join(below.select(c("id").alias("ForumID"), "level"), "ForumID")
+    rows = _forum_rows(m, forums, F.lit(None).cast("bigint"), c("ParentForumID").alias("_above"), "level").drop("ParentID")
+
+    def with_parents(numbered: DataFrame) -> DataFrame:
+        every = ids.unionByName(numbered.select(c("oForumID").alias("_old"), c("ForumID").alias("_new")))
+        return spread_join(numbered, every.select(c("_old").alias("_above"), c("_new").alias("ParentID")), ["_above"])
+
+    m.merge("yaf_Forum", rows, ["oForumID"], id_col="ForumID", id_order=["level", "oForumID", "CategoryID"],
+            attach=with_parents)
