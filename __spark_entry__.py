@@ -24,7 +24,10 @@ from forumshift.plans.discovery import discover_boards
 from forumshift.plans.migration import Migration
 from forumshift.schemas import LINEAGE, TARGETS
 from forumshift.session import apply_run_conf, checkpoint_dir
-from forumshift.sources.driver_fixture import fixture_params, fixture_sources, fixture_targets
+from forumshift.functions.permissions import grants, joined
+from forumshift.functions.text import left
+from forumshift.plans.crosswalk import crosswalk
+from forumshift.sources.driver_fixture import (early_sources, fixture_params, fixture_sources, fixture_targets, old_posts)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 _RUNS: dict[tuple, Migration] = {}
@@ -37,6 +40,7 @@ VARIANTS = {
     "full_depth": {"forum_full_depth": True},                    # Q3 + Q4
     "collated": {"name_collation": "UTF8_LCASE_RTRIM"},          # Q10
     "server_offset": {"tz_offset_min": None},                    # E3: the machine's own offset
+    "beside_old": {},                                            # Q17: targets hold another board's posts
 }
 
 
@@ -47,16 +51,93 @@ def migration(spark: SparkSession, sf_dir: str, upto: str, variant: str = "liter
         if m is None:
             apply_run_conf(spark)
             params = dataclasses.replace(fixture_params(), **VARIANTS[variant])
-            m = Migration(spark, fixture_sources(spark, sf_dir), fixture_targets(spark, sf_dir), params)
+            targets = fixture_targets(spark, sf_dir) | (old_posts(spark, sf_dir) if variant == "beside_old" else {})
+            m = Migration(spark, fixture_sources(spark, sf_dir), targets, params)
             _RUNS[key] = m
         if upto not in m.done:
             m.run(upto=upto, parallel=True)
     return m
 
 
-def _state(fid: str, table: str, cols: list) -> Callable[[SparkSession, str], DataFrame]:
+def resumed(spark: SparkSession, sf_dir: str) -> Migration:
+    """The board migrated from what had been written early, then resumed with everything."""
+    key = (spark.sparkContext.applicationId, sf_dir, "resumed")
+    with _LOCK:
+        if key not in _RUNS:
+            apply_run_conf(spark)
+            src = fixture_sources(spark, sf_dir)
+            first = Migration(spark, early_sources(src), fixture_targets(spark, sf_dir), fixture_params()).run(parallel=True)
+            known = first._store(crosswalk(first), "crosswalk")
+            _RUNS[key] = Migration(spark, src, first.published(), fixture_params(), crosswalk=known).run(parallel=True)
+        return _RUNS[key]
+
+
+def _resumed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All posts of the resumed board, by source ids: equal to one full run."""
+    m = resumed(spark, sf_dir)
+    posts = m.tgt["yaf_Message"].filter("oContentID IS NOT NULL")
+    topics = m.tgt["yaf_Topic"].select("TopicID", "oTopicID", "ForumID")
+    above = posts.select(F.col("MessageID").alias("ReplyTo"), F.col("oContentID").alias("ParentContentID"))
+    return posts.join(topics, "TopicID").join(above, "ReplyTo", "left").select(
+        "oContentID", "oTopicID", "ForumID", "ParentContentID", "Position", "UserID", "UserDisplayName", "Posted", "Message", "Flags")
+
+
+def _resumed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = resumed(spark, sf_dir)
+    last = m.tgt["yaf_Message"].filter("oContentID IS NOT NULL").select(
+        F.col("MessageID").alias("LastMessageID"), F.col("oContentID").alias("LastContentID"))
+    return m.tgt["yaf_Topic"].filter("oTopicID IS NOT NULL").join(last, "LastMessageID", "left").select(
+        "oTopicID", "ForumID", "UserID", "Topic", "NumPosts", "LastPosted", "LastUserID", "LastUserDisplayName", "LastContentID",
+        "LastMessageFlags")
+
+
+def _resumed_forums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resumed(spark, sf_dir).tgt["yaf_Forum"].filter("oForumID IS NOT NULL").select(
+        "ForumID", "oForumID", "NumTopics", "NumPosts", "LastPosted")
+
+
+def _crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a full run leaves for the next one."""
+    return crosswalk(migration(spark, sf_dir, "F36"))
+
+
+def _utf16_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 over names whose digits are characters beyond U+FFFF, cut at every offset."""
+    names = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.concat(
+        F.repeat(F.lit("x"), (F.col("c_custkey") % 3).cast("int")),
+        F.repeat(F.translate("c_name", "0123456789", "𝟘𝟙𝟚𝟛𝟜𝟝𝟞𝟟𝟠𝟡"), 3), F.lit("é")).alias("name"))
+    return names.select("c_custkey", left("name", 50).alias("at_50"), left("name", 64).alias("at_64"), left("name", 255).alias("at_255"))
+
+
+def _permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survey 2.12: a permission string per forum (one per customer): the role of the customer, three
+    users, now and then an owner."""
+    k = F.col("c_custkey")
+    role = F.ascii("c_mktsegment") * 10 + F.col("c_nationkey") % 3
+    text = F.concat(F.lit("0;"), role.cast("string"), F.lit(";|"), k.cast("string"), F.lit(";"), (k * 7 % 1000).cast("string"),
+                    F.lit(":"), (k + 1_000_000).cast("string"), F.lit(";|"), F.when(k % 5 == 0, F.concat(k.cast("string"), F.lit(";")))
+                    .otherwise(F.lit("")), F.lit("|"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select((k + 1).alias("oForumID"), text.alias("Permissions"))
+
+
+def _permission_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per grant, with the board's group or user of that id where there is one."""
+    m = migration(spark, sf_dir, "F27")
+    rows = grants(_permissions(spark, sf_dir), "Permissions", "oForumID")
+    roles = m.src["roles"].join(m.board_rows("yaf_Group").select("GroupID", F.col("Name").alias("RoleName")), "RoleName")
+    known = roles.select(F.lit("role").alias("Part"), F.col("RoleID").alias("ID"), F.col("GroupID").alias("NewID")).union(
+        m.user_map().select(F.lit("user"), "UserID", "YUserID"))
+    return rows.join(known, ["Part", "ID"], "left").select("oForumID", "Part", "Place", "ID", "NewID")
+
+
+def _permission_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grants put back into strings."""
+    return joined(grants(_permissions(spark, sf_dir), "Permissions", "oForumID"), "oForumID")
+
+
+def _state(fid: str, table: str, cols: list, variant: str = "literal") -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return migration(spark, sf_dir, fid).state(fid, table).select(*cols)
+        return migration(spark, sf_dir, fid, variant).state(fid, table).select(*cols)
     return q
 
 
@@ -108,15 +189,18 @@ TOPIC_COLS = ["TopicID", "ForumID", "UserID", "UserDisplayName", "Posted", "Topi
               "LastMessageFlags", "oTopicID"]
 MESSAGE_COLS = ["MessageID", "TopicID", "ReplyTo", "Position", "Indent", "UserID", "UserDisplayName", "Posted",
                 "Message", "IP", "Flags", "IsModeratorChanged", "oContentID"]
+STAT_COLS = ["TopicID", "ForumID", "NumPosts", "LastMessageID", "LastMessageFlags", "oTopicID"]
 GROUP_COLS = ["GroupID", "BoardID", "Name", "Flags", "PMLimit", "Style", "SortOrder", "Description", "UsrSigChars",
               "UsrSigBBCodes", "UsrSigHTMLTags", "UsrAlbums", "UsrAlbumImages"]
 
 
-def _attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = migration(spark, sf_dir, "F31")
-    return m.inserted_in("yaf_Attachment", "F31").select(
-        "AttachmentID", "MessageID", "UserID", "FileName", "Bytes", "ContentType", "Downloads",
-        F.md5("FileData").alias("FileDataMd5"))
+def _attachments(variant: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = migration(spark, sf_dir, "F31", variant)
+        return m.inserted_in("yaf_Attachment", "F31").select(
+            "AttachmentID", "MessageID", "UserID", "FileName", "Bytes", "ContentType", "Downloads",
+            F.md5("FileData").alias("FileDataMd5"))
+    return q
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +225,12 @@ def _conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conservation(migration(spark, sf_dir, "F36"))
 
 
+def _reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15: source rows by entity and by the first lookup that has no row for them."""
+    from forumshift.plans.report import reject_reasons
+    return reject_reasons(migration(spark, sf_dir, "F36"))
+
+
 try:   # the training-data operators are an optional part of the library
     from forumshift.llm import queries as _llm
 except ModuleNotFoundError as missing:
@@ -196,9 +286,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topics": _inserted(("F28",), "yaf_Topic", TOPIC_COLS),
         "first_posts": _inserted(("F29",), "yaf_Message", MESSAGE_COLS),
         "replies": _inserted(("F30",), "yaf_Message", MESSAGE_COLS),
-        "attachments": _attachments,
-        "topic_stats": _state("F32", "yaf_Topic", ["TopicID", "ForumID", "NumPosts", "LastMessageID",
-                                                   "LastMessageFlags", "oTopicID"]),
+        "attachments": _attachments("literal"),
+        "topic_stats": _state("F32", "yaf_Topic", STAT_COLS),
+        "replies_beside_old": _inserted(("F30",), "yaf_Message", MESSAGE_COLS, "beside_old"),
+        "attachments_beside_old": _attachments("beside_old"),
+        "topic_stats_beside_old": _state("F32", "yaf_Topic", STAT_COLS, "beside_old"),
+        "resumed_messages": _resumed_messages,
+        "resumed_topics": _resumed_topics,
+        "resumed_forums": _resumed_forums,
+        "crosswalk": _crosswalk,
+        "utf16_prefixes": _utf16_prefixes,
+        "permission_grants": _permission_grants,
+        "permission_strings": _permission_strings,
         "watch_forum": _inserted(("F33",), "yaf_WatchForum", ["WatchForumID", "ForumID", "UserID", "Created",
                                                              "LastMail"]),
         "watch_topic": _inserted(("F34",), "yaf_WatchTopic", ["WatchTopicID", "TopicID", "UserID", "Created",
@@ -207,6 +306,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "forum_rollup": _rollup,
         "surrogate_keys": _surrogate_keys,
         "conservation_report": _conservation,
+        "reject_reasons": _reject_reasons,
         "forum_tree_full_depth": _full_depth_tree,
         "published_messages": _published_messages,
     }

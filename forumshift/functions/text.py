@@ -7,9 +7,20 @@ from pyspark.sql import functions as F
 
 
 def left(col: Column | str, n: int) -> Column:
-    """E4 ``Left(s, n)``; NULL stays NULL.  Counts code points (T-SQL counts UTF-16 units)."""
+    """E4 ``Left(s, n)``; NULL stays NULL.  Counts UTF-16 units as T-SQL does, where a character beyond
+    U+FFFF has two.  The half of such a character that a cut would leave is not a character and
+    cannot be stored, so it goes: the prefix is then n - 1 units long.
+
+    Plain ASCII, told by its length in bytes, takes the short way; nothing leaves the JVM."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.substring(c, 1, n)
+    units = F.encode(c, "UTF-16BE")
+    cut = F.substring(units, 1, 2 * n)
+    last = F.hex(F.substring(units, 2 * n - 1, 2))
+    half = last.between("D800", "DBFF")
+    return (F.when(F.octet_length(c) == F.length(c), F.substring(c, 1, n))
+            .when(F.octet_length(units) <= 2 * n, c)
+            .when(half, F.decode(F.substring(units, 1, 2 * n - 2), "UTF-16BE"))
+            .otherwise(F.decode(cut, "UTF-16BE")))
 
 
 def lowered(col: Column | str) -> Column:

@@ -103,25 +103,41 @@ def append(target: DataFrame, source: DataFrame, *, id_col: str | None = None,
     return MergeResult(target.unionByName(inserted), inserted, numbered)
 
 
-def update_only_merge(target: DataFrame, matched_keys: DataFrame, keys: Sequence[str],
+def update_only_merge(target: DataFrame, matched: DataFrame, keys: Sequence[str],
                       set_values: Mapping[str, Column], when: Column | None = None) -> DataFrame:
     """D3 ``MERGE ... WHEN MATCHED [AND when] THEN UPDATE SET``.
 
-    The key set is made distinct first: a target row matched by several equal source rows
-    is updated once (the reference would stop with an error; both updates set the same
-    constant, so the result is the same).  The row count of ``target`` is preserved.
+    ``matched`` has the keys, and may have columns that ``set_values`` and ``when`` use; such names
+    must not be columns of the target.  A target row that meets source rows of different values
+    is an error, as in the original: the one aggregation that makes the keys distinct also
+    compares the values, and the update raises where it would use one of several.  Equal source
+    rows update once.  The row count of ``target`` is preserved.
     """
-    flag = "_fs_matched"
-    marks = matched_keys.select(*keys).dropDuplicates(list(keys)).withColumn(flag, F.lit(True))
-    joined = target.join(marks, list(keys), "left")
+    flag, keys = "_fs_matched", list(keys)
+    values = [c for c in matched.columns if c not in keys]
+    clash = sorted(set(values) & set(target.columns))
+    if clash:
+        raise ValueError(f"columns of both sides: {clash}")
+    marks = matched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_fs_n"), *[
+        F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n")).alias(v) for v in values])
+    several = F.lit(False)
+    for v in values:
+        held = F.col(v)
+        several = several | (held["n"] > 0) & ((held["n"] < F.col("_fs_n")) | (held["lo"] != held["hi"]))
+    marks = marks.select(*keys, several.alias("_fs_several"), *[F.col(v)["lo"].alias(v) for v in values], F.lit(True).alias(flag))
+    joined = target.join(marks, keys, "left")
     cond = F.col(flag).isNotNull()
     if when is not None:
         cond = cond & F.coalesce(when, F.lit(False))
     cols = []
     for name in target.columns:
         if name in set_values:
-            cols.append(F.when(cond, set_values[name]).otherwise(F.col(name)).cast(target.schema[name].dataType)
-                        .alias(name))
+            kind = target.schema[name].dataType
+            text = F.concat_ws(", ", F.lit(f"{name}: several source rows of different values update the row with key"),
+                               *[F.col(k).cast("string") for k in keys])
+            wrong = F.when(F.col("_fs_several"), F.raise_error(text).cast(kind))
+            new = wrong.otherwise(set_values[name].cast(kind)) if values else set_values[name]
+            cols.append(F.when(cond, new).otherwise(F.col(name)).cast(kind).alias(name))
         else:
             cols.append(F.col(name))
     return joined.select(*cols)

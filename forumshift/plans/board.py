@@ -47,6 +47,7 @@ def resolve_run_scalars(m: Migration) -> None:
         "ws_pid": prop("Website"),
         "max_board": m.tgt["yaf_Board"].select(F.max("BoardID")),
         "placements": src["tab_modules"].filter(_col("ModuleID") == mod).select(F.count(F.lit(1))),
+        "board": m.tgt["yaf_Board"].filter(_col("oModuleID") == mod).select(F.max("BoardID")),
         "existing": m.tgt["yaf_Board"].filter(_col("oModuleID") == mod).select(F.count(F.lit(1))),
         "template": m.tgt["yaf_Board"].filter(_col("BoardID") == F.lit(p.template_board_id)).select(F.count(F.lit(1))),
     }
@@ -60,7 +61,9 @@ def resolve_run_scalars(m: Migration) -> None:
         raise MigrationError(f"module {p.module_id} not found (set RunParams.module_id)")
     if not s["placements"]:
         raise MigrationError(f"module {p.module_id} is not placed on any page; no board can be created")
-    if p.fail_if_board_exists and s["existing"]:
+    if m.resumed and s["existing"] != 1:
+        raise MigrationError(f"the crosswalk has {s['existing']} boards of module {p.module_id}; a run resumes exactly one")
+    if not m.resumed and p.fail_if_board_exists and s["existing"]:
         raise MigrationError(f"module {p.module_id} was already migrated (a board has oModuleID={p.module_id})")
     if not s["template"]:
         raise MigrationError(f"template board {p.template_board_id} does not exist")
@@ -70,7 +73,10 @@ def resolve_run_scalars(m: Migration) -> None:
 # ------------------------------------------------------------------------- F02
 def create_board(m: Migration) -> None:
     """The module's first placement becomes the board, whatever boards exist: a left semi join
-    with the one-row minimum of its placement ids."""
+    with the one-row minimum of its placement ids.  A resumed run goes on with the board it has."""
+    if m.resumed:
+        m.board_id = int(m.scalars["board"])
+        return
     tm = m.src["tab_modules"]
     first = (tm.filter(_col("ModuleID") == F.lit(m.p.module_id))
                .agg(F.min("TabModuleID").alias("TabModuleID")))

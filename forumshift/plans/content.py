@@ -52,7 +52,7 @@ def _texts(m: Migration, key: str, **columns) -> Callable[[DataFrame], DataFrame
 # ------------------------------------------------------------------------- F28
 def topics(m: Migration) -> None:
     src = m.src
-    t = src["af_topics"]
+    t = m.absent(src["af_topics"], "TopicID", "yaf_Topic")
     content = m.content_rows().select(c("ContentID").alias("CContentID"), "AuthorID", "DateCreated",
                                       c("IsDeleted").alias("CIsDeleted"))
     x = src["af_forum_topics"].select(c("TopicID").alias("XTopicID"), c("ForumID").alias("XForumID"),
@@ -94,8 +94,9 @@ def _last_authors(m: Migration, answered: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------------- F29
 def first_posts(m: Migration) -> None:
     src = m.src
-    r = src["af_topics"].select(c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"),
-                                c("IsDeleted").alias("RIsDeleted"), "IsApproved", "IsLocked")
+    r = m.absent(src["af_topics"], "ContentID", "yaf_Message").select(
+        c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"), c("IsDeleted").alias("RIsDeleted"),
+        "IsApproved", "IsLocked")
     content = m.content_rows().withColumnRenamed("IsDeleted", "CIsDeleted")
     yt = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select(c("TopicID").alias("YTopicID"), "oTopicID")
     narrow = (r.join(content, r.RContentID == content.ContentID)
@@ -117,14 +118,16 @@ def replies(m: Migration) -> None:
     topic (Q5): on a first run only the first post exists, which is what the default
     (``replies_to_first_post_only``) keeps on reruns too."""
     src = m.src
-    r = src["af_replies"].select(c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"),
-                                 c("IsDeleted").alias("RIsDeleted"), c("IsApproved").alias("RIsApproved"))
+    r = m.absent(src["af_replies"], "ContentID", "yaf_Message").select(
+        c("TopicID").alias("RTopicID"), c("ContentID").alias("RContentID"), c("IsDeleted").alias("RIsDeleted"),
+        c("IsApproved").alias("RIsApproved"))
     content = m.content_rows().drop("IsDeleted")
     x = src["af_topics"].select(c("TopicID").alias("XTopicID"), c("IsLocked").alias("XIsLocked"))
     yt = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select(c("TopicID").alias("YTopicID"), "oTopicID")
     msgs = m.tgt["yaf_Message"]
     if m.p.replies_to_first_post_only:
-        msgs = msgs.filter(c("Position") == F.lit(0))
+        # a migrated topic's first post is a migrated one: parquet skips the old messages by null counts
+        msgs = msgs.filter((c("Position") == F.lit(0)) & c("oContentID").isNotNull())
     msgs = msgs.select(c("TopicID").alias("MTopicID"), c("MessageID").alias("MMessageID"))
     narrow = (r.join(content, r.RContentID == content.ContentID)
                .join(x, c("RTopicID") == c("XTopicID"))
@@ -149,11 +152,13 @@ def attachments(m: Migration) -> None:
 
     Joins and numbering see a hash in place of the file's bytes, which also makes the order of
     equally named files definite; the bytes are joined on content and hash at the end, each
-    distinct file of a content row once."""
-    digest = F.sha2("FileData", 256)
-    a = m.src["af_attachments"].withColumn("_file", digest).drop("FileData")
-    files = (m.src["af_attachments"].select(c("ContentID").alias("_content2"), digest.alias("_file2"), "FileData")
-             .dropDuplicates(["_content2", "_file2"]))
+    distinct file of a content row once.  The hash is never NULL, so the exchange that finds the
+    distinct files is the one that the join needs too.  Narrow rows are staged, so the numbering
+    does not read the bytes again."""
+    digest = F.coalesce(F.sha2("FileData", 256), F.lit("none"))
+    a = m._store(m.src["af_attachments"].withColumn("_file", digest).drop("FileData"), "attachments-narrow")
+    files = m.src["af_attachments"].select("ContentID", digest.alias("_file"), "FileData").dropDuplicates(
+        ["ContentID", "_file"]).withColumnRenamed("ContentID", "_content")
     msgs = m.tgt["yaf_Message"].filter(c("oContentID").isNotNull()).select(
         c("MessageID").alias("MMessageID"), c("oContentID").alias("MoContentID"))
     if m.p.board_scoped_attachment_authors:
@@ -169,25 +174,56 @@ def attachments(m: Migration) -> None:
                      c("ContentID").alias("_content"), "_file"))
     m.merge("yaf_Attachment", rows, ["FileName", "MessageID"], id_col="AttachmentID",
             id_order=["MessageID", "FileName", "UserID", "Bytes", "ContentType", "_file"],
-            attach=lambda numbered: numbered.join(
-                files, (c("_content") == c("_content2")) & c("_file").eqNullSafe(c("_file2"))))
+            attach=lambda numbered: numbered.join(files, ["_content", "_file"]))
 
 
 # ------------------------------------------------------------------------- F32
 def topic_statistics(m: Migration) -> None:
-    """Topics with NumPosts = 0 take the count and highest id of their messages.  The
-    per-topic aggregate is partial (map-side), so a topic holding a third of all messages
-    costs one partial state per task.  Neither side is scoped to the board (Q17): a topic
-    from before the run with NumPosts = 0 and messages is updated too.  Whether such a
-    topic exists is checked first (one small job over the stored per-topic aggregate), so
-    the multi-terabyte topic table is rewritten only when the literal rule really changes
-    old rows; otherwise only this run's topics are updated -- the same result either way.
-    """
-    stats = m._store(m.tgt["yaf_Message"].groupBy("TopicID").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("MessageID").alias("_max_id")), "topic_stats")
-    old = m.tgt.base["yaf_Topic"].filter(c("NumPosts") == F.lit(0)).select("TopicID")
-    old_touched = old.join(stats, "TopicID", "left_semi").limit(1).count() > 0
-    m.update("yaf_Topic", lambda t: update_from_aggregate(
-        t, stats, ["TopicID"],
+    """Topics with NumPosts = 0 take the count and highest id of their messages.  Neither side is
+    scoped to the board (Q17), so a topic from before the run with NumPosts = 0 and messages is
+    updated too.
+
+    Messages are reduced to the open topics first (a semi join, which AQE broadcasts where the
+    ids are few), so old messages of finished topics reach no aggregate.  The aggregate is partial
+    (map-side): a topic holding a third of all messages costs one partial state per task.  Old
+    topics that change become an overlay of these rows; the topic table is never rewritten.
+
+    A resumed run also counts again the earlier topics that it gave messages, whose last reply
+    is then another one too."""
+    open_topics = m.tgt["yaf_Topic"].filter(c("NumPosts") == F.lit(0)).select("TopicID")
+    if m.resumed:
+        open_topics = open_topics.union(m.inserted_rows("yaf_Message").select("TopicID")).distinct()
+    stats = m._store(_statistics(m.tgt["yaf_Message"], open_topics), "topic_stats")
+    m.update("yaf_Topic", lambda t: _counted(t, stats))
+    old = m.tgt.before_parts("yaf_Topic").join(stats.select("TopicID"), "TopicID", "left_semi")
+    if m.resumed:
+        changed = _replied(m, _counted(old, stats, where=F.lit(True)))
+    else:
+        changed = _counted(old.filter(c("NumPosts") == F.lit(0)), stats)
+    m.overlay("yaf_Topic", "TopicID", changed)
+
+
+def _replied(m: Migration, topics: DataFrame) -> DataFrame:
+    """Earlier topics with their last reply looked up again; topics without lineage stay as they are."""
+    listed = m.src["af_forum_topics"].select(c("TopicID").alias("oTopicID"), c("ForumID").alias("oForumID"), "LastReplyID",
+                                             "LastReplyDate")
+    forums = m.tgt["yaf_Forum"].filter(c("oForumID").isNotNull()).select("ForumID", "oForumID")
+    found = topics.select("TopicID", "ForumID", "oTopicID").join(forums, "ForumID").join(listed, ["oTopicID", "oForumID"])
+    found = _last_authors(m, found.select("TopicID", "LastReplyID", "LastReplyDate")).groupBy("TopicID").agg(
+        F.max_by(F.struct(_shift(m, epoch_seconds_to_ts(c("LastReplyDate"))).alias("LastPosted"), c("LUserID").alias("LastUserID"),
+                          c("LDisplayName").alias("LastUserDisplayName")), F.coalesce("LastReplyID", F.lit(-1))).alias("_last"))
+    return update_from_aggregate(topics, found, ["TopicID"], {
+        n: c(f"_last.{n}") for n in ("LastPosted", "LastUserID", "LastUserDisplayName")})
+
+
+def _statistics(messages: DataFrame, topics: DataFrame) -> DataFrame:
+    """Per topic among ``topics``: number and highest id of its messages."""
+    own = messages.select("TopicID", "MessageID").join(topics, "TopicID", "left_semi")
+    return own.groupBy("TopicID").agg(F.count(F.lit(1)).alias("_n"), F.max("MessageID").alias("_max_id"))
+
+
+def _counted(topics: DataFrame, stats: DataFrame, where=None) -> DataFrame:
+    return update_from_aggregate(
+        topics, stats, ["TopicID"],
         {"NumPosts": c("_n"), "LastMessageID": c("_max_id"), "LastMessageFlags": F.lit(LAST_MESSAGE_FLAGS)},
-        where=c("NumPosts") == F.lit(0)), scope="all" if old_touched else "parts")
+        where=c("NumPosts") == F.lit(0) if where is None else where)

@@ -29,6 +29,7 @@ from ..operators.merge import append, insert_only_merge
 from ..params import RunParams
 from ..schemas import LINEAGE, SOURCES, TARGETS
 from ..session import checkpoint_dir
+from .crosswalk import with_lineage
 
 
 class MigrationError(RuntimeError):
@@ -40,16 +41,25 @@ class Tables:
 
     Reading a table yields ``base UNION ALL part1 UNION ALL ...``: a shallow plan whatever
     the number of statements, because every part is a materialised leaf.  Appending never
-    rewrites ``base`` -- on a real system that is the multi-terabyte message table.
+    rewrites ``base`` -- on a real system that is the multi-terabyte message table.  An update of
+    base rows is an overlay: the changed rows alone, which hide those of equal key.
     """
 
     def __init__(self, base: dict[str, DataFrame]):
         self.base = dict(base)
         self.base_at_start = dict(base)
         self.parts: dict[str, list[DataFrame]] = defaultdict(list)
+        self.overlays: dict[str, tuple[str, DataFrame]] = {}
+
+    def before_parts(self, name: str) -> DataFrame:
+        """The base table as overlaid."""
+        if name not in self.overlays:
+            return self.base[name]
+        key, rows = self.overlays[name]
+        return self.base[name].join(rows.select(key), key, "left_anti").select(self.base[name].columns).unionByName(rows)
 
     def __getitem__(self, name: str) -> DataFrame:
-        out = self.base[name]
+        out = self.before_parts(name)
         for part in self.parts.get(name, []):
             out = out.unionByName(part)
         return out
@@ -63,7 +73,7 @@ class Tables:
 
 class Migration:
     def __init__(self, spark: SparkSession, sources: dict[str, DataFrame], targets: dict[str, DataFrame],
-                 params: RunParams, materialize: bool = True):
+                 params: RunParams, materialize: bool = True, crosswalk: DataFrame | None = None):
         missing = [n for n in SOURCES if n not in sources]
         if missing:
             raise MigrationError(f"missing source tables: {missing}")
@@ -73,7 +83,11 @@ class Migration:
         self.spark = spark
         self.src = sources
         self.p = params.resolved()
-        # lineage columns exist for the duration of the run
+        # lineage columns exist for the duration of the run; a crosswalk says what they were before
+        self.resumed = crosswalk is not None
+        if crosswalk is not None:
+            targets = {name: (with_lineage(drop_lineage(df, LINEAGE[name]), name, crosswalk, params.module_id)
+                              if name in LINEAGE else df) for name, df in targets.items()}
         self.tgt = Tables({name: (add_lineage(df, LINEAGE[name]) if name in LINEAGE else df)
                            for name, df in targets.items()})
         self.scalars: dict = {}
@@ -114,24 +128,34 @@ class Migration:
         self._ctx.touched.add(table)
         return stored
 
-    def update(self, table: str, fn: Callable[[DataFrame], DataFrame], scope: str = "parts") -> None:
-        """Apply a row-preserving update.  ``scope='parts'`` when the statement can only
-        touch rows this run inserted (keys of the new board); ``'all'`` rewrites the table."""
-        if scope == "all":
-            self.tgt.base[table] = self._store(fn(self.tgt[table]), table)
-            self.tgt.parts[table] = []
-        else:
-            parts = self.tgt.parts.get(table) or []
-            if not parts:
-                return
-            merged = parts[0]
-            for p in parts[1:]:
-                merged = merged.unionByName(p)
-            self.tgt.parts[table] = [self._store(fn(merged), table)]
+    def update(self, table: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+        """Apply a row-preserving update to the rows this run inserted."""
+        parts = self.tgt.parts.get(table) or []
+        if not parts:
+            return
+        merged = parts[0]
+        for p in parts[1:]:
+            merged = merged.unionByName(p)
+        self.tgt.parts[table] = [self._store(fn(merged), table)]
         self._ctx.touched.add(table)
         if table == "yaf_User":
             self._user_map = None
 
+    def overlay(self, table: str, key: str, changed: DataFrame) -> DataFrame:
+        """Let ``changed`` (whole rows with unique keys) stand for the base rows of their keys; returns
+        them as staged.  What an earlier overlay says of other keys stays."""
+        rows = self._store(changed.select(self.tgt.base[table].columns), f"{table}-overlay")
+        if not rows.isEmpty():
+            if table in self.tgt.overlays:
+                old = self.tgt.overlays[table][1].join(rows.select(key), key, "left_anti").select(rows.columns)
+                self.tgt.overlays[table] = (key, old.unionByName(rows))
+            else:
+                self.tgt.overlays[table] = (key, rows)
+            self._ctx.touched.add(table)
+            if table == "yaf_User":
+                self._user_map = None
+        return rows
+
     def state(self, fid: str, table: str) -> DataFrame:
         """``table`` as it was right after flow ``fid`` (flows must have run that far)."""
         if fid not in self.done:
@@ -193,6 +217,13 @@ class Migration:
             return None
         return lambda df: self._store(df, f"{table}-keys")
 
+    def absent(self, source: DataFrame, key: str, table: str) -> DataFrame:
+        """In a resumed run, the source rows that the crosswalk does not have; else all of them."""
+        if not self.resumed:
+            return source
+        done = self.tgt.base[table].select(F.col(LINEAGE[table]).alias(key)).filter(F.col(key).isNotNull())
+        return source.join(done, key, "left_anti")
+
     def board_rows(self, table: str) -> DataFrame:
         return self.tgt[table].filter(F.col("BoardID") == F.lit(self.board_id))
 
@@ -279,11 +310,11 @@ class Migration:
 
     def changes(self) -> tuple[dict[str, DataFrame], list[str]]:
         """What a publish has to write, lineage dropped: the rows added to each table, or the whole
-        table where a statement rewrote it; and the names of the tables that were rewritten."""
+        table where a statement changed old rows; and the names of the tables that are whole."""
         if len(self.done) < len(flows()):
             left = [f for f, _ in flows() if f not in self.done]
             raise MigrationError(f"a partial run is not published; flows left: {left}")
-        rewritten = [n for n in self.tgt.base if self.tgt.base[n] is not self.tgt.base_at_start[n]]
+        rewritten = [n for n in self.tgt.base if n in self.tgt.overlays]
         out = {}
         for name in self.tgt.base:
             if name in rewritten or self.tgt.parts.get(name):

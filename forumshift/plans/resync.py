@@ -25,8 +25,7 @@ def forum_rollup_frame(m: Migration) -> DataFrame:
     b = F.lit(m.board_id)
     cats = m.tgt["yaf_Category"].filter(c("BoardID") == b).select("CategoryID")
     forums = m.tgt["yaf_Forum"].join(cats, "CategoryID", "left_semi").select("ForumID")
-    # the board's forums were all inserted by this run, and so were their topics and messages:
-    # rows from before have no lineage and drop out at the scan
+    # the board's forums, topics and messages have lineage; other boards' rows drop out at the scan
     topics = m.tgt["yaf_Topic"].filter(c("oTopicID").isNotNull()).select("TopicID", c("ForumID").alias("TForumID"))
     latest = F.struct(c("Posted"), c("MessageID"))
     per_topic = m.tgt["yaf_Message"].filter(c("oContentID").isNotNull()).groupBy("TopicID").agg(
@@ -46,8 +45,15 @@ def forum_rollup_frame(m: Migration) -> DataFrame:
 
 def forum_rollup(m: Migration) -> None:
     roll = m._store(forum_rollup_frame(m), "forum_rollup")
-    # only forums of the new board are keyed, and all of them were inserted by this run
-    m.update("yaf_Forum", lambda t: update_from_aggregate(t, roll, ["ForumID"], {
-        "NumTopics": c("_topics"), "NumPosts": c("_posts"),
-        "LastPosted": c("_last.Posted"), "LastTopicID": c("_last.TopicID"), "LastMessageID": c("_last.MessageID"),
-        "LastUserID": c("_last.UserID"), "LastUserDisplayName": c("_last.UserDisplayName")}))
+
+
+    def filled(t: DataFrame) -> DataFrame:
+        return update_from_aggregate(t, roll, ["ForumID"], {
+            "NumTopics": c("_topics"), "NumPosts": c("_posts"),
+            "LastPosted": c("_last.Posted"), "LastTopicID": c("_last.TopicID"), "LastMessageID": c("_last.MessageID"),
+            "LastUserID": c("_last.UserID"), "LastUserDisplayName": c("_last.UserDisplayName")})
+
+    # only forums of the board are keyed: those of this run, and in a resumed run the earlier ones
+    m.update("yaf_Forum", filled)
+    if m.resumed:
+        m.overlay("yaf_Forum", "ForumID", filled(m.tgt.before_parts("yaf_Forum").join(roll.select("ForumID"), "ForumID", "left_semi")))

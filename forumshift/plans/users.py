@@ -169,10 +169,17 @@ def _admin_members(m: Migration) -> DataFrame:
 
 def raise_admin_flags(m: Migration) -> None:
     """D3: members of the board's Flags=1 groups get Flags = 98 unless already 98."""
-    keys = _admin_members(m).select("UserID")
-    # the keys are members of groups created by this run, i.e. users this run inserted
-    m.update("yaf_User", lambda t: update_only_merge(t, keys, ["UserID"], {"Flags": F.lit(98)},
-                                                     when=c("Flags") != F.lit(98)))
+    _raise_flags(m, _admin_members(m).select("UserID"), 98)
+
+
+def _raise_flags(m: Migration, keys: DataFrame, flags: int) -> None:
+    """The keys are members of the board's groups: users this run inserted, and in a resumed run
+    earlier ones, whose changed rows become an overlay."""
+    unlike = c("Flags") != F.lit(flags)
+    m.update("yaf_User", lambda t: update_only_merge(t, keys, ["UserID"], {"Flags": F.lit(flags)}, when=unlike))
+    if m.resumed:
+        old = m.tgt.before_parts("yaf_User").filter(unlike).join(keys, "UserID", "left_semi")
+        m.overlay("yaf_User", "UserID", old.withColumn("Flags", F.lit(flags)))
 
 
 def raise_superuser_flags(m: Migration) -> None:
@@ -181,8 +188,7 @@ def raise_superuser_flags(m: Migration) -> None:
     supers = m.src["users"].filter(c("IsSuperUser") == F.lit(1)).select(c("UserName").alias("SName"))
     admins = _admin_members(m).join(y, c("UserID") == c("YUserID"))
     keys = _name_join(admins, supers, "YName", "SName", m.p.name_collation).select("UserID")
-    m.update("yaf_User", lambda t: update_only_merge(t, keys, ["UserID"], {"Flags": F.lit(99)},
-                                                     when=c("Flags") != F.lit(99)))
+    _raise_flags(m, keys, 99)
 
 
 # ------------------------------------------------------------------------- F24

@@ -43,6 +43,9 @@ def fixture_params() -> RunParams:
                      run_ts=RUN_TS)
 
 
+OLD_FORUMS = 3_000_000_000
+
+
 def _read(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in DRIVER_TABLES}
 
@@ -279,3 +282,32 @@ def fixture_targets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     for name, schema in TARGETS.items():
         out.setdefault(name, empty(spark, schema))
     return out
+
+
+def old_posts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Another board's topics, posts and files, as targets may hold them before a run: a topic per order,
+    a post per line item, a file per page.  Every third topic has never been counted (Q17)."""
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    c = F.col
+    orders, lines, pages = read("orders"), read("lineitem"), read("pages")
+    out = {
+        "yaf_Topic": orders.select(
+            (c("o_orderkey") + 1).alias("TopicID"), (c("o_custkey") + OLD_FORUMS).alias("ForumID"),
+            (c("o_custkey") + 1_000_000_000).alias("UserID"), c("o_orderdate").alias("Posted"),
+            c("o_orderpriority").alias("Topic"), F.when(c("o_custkey") % 3 == 0, 0).otherwise(7).alias("NumPosts"),
+            F.lit(0).alias("Flags"), F.lit(0).alias("LastMessageFlags")),
+        "yaf_Message": lines.select(
+            (c("l_orderkey") * 100 + c("l_linenumber")).alias("MessageID"), (c("l_orderkey") + 1).alias("TopicID"),
+            (c("l_linenumber") - 1).alias("Position"), F.lit(0).alias("Indent"), c("l_shipdate").alias("Posted"),
+            c("l_returnflag").alias("Message"), F.lit(0).alias("Flags")),
+        "yaf_Attachment": pages.select(
+            (c("page_id") + 1).alias("AttachmentID"), (c("page_id") * 100 + 1).alias("MessageID"), c("url").alias("FileName"),
+            F.octet_length("html").alias("Bytes"), F.lit("text/html").alias("ContentType"), F.lit(1).alias("Downloads"))}
+    return {name: conform(df, TARGETS[name], fill=True) for name, df in out.items()}
+
+
+def early_sources(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sources as they were when the older half of the conversations had two turns each."""
+    half = src["af_content"].agg((F.max("ContentID") / 2).alias("n")).scalar()
+    written = src["af_content"].filter((F.col("ContentID") % 100 < 2) & (F.col("ContentID") < half))
+    return {**src, "af_content": written}

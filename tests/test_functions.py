@@ -51,3 +51,32 @@ def test_name_guid_is_deterministic(spark):
     g1 = df.select(name_guid(F.col("x"), F.col("y"))).first()[0]
     g2 = df.select(name_guid(F.col("x"), F.col("y"))).first()[0]
     assert g1 == g2 and len(g1) == 36 and g1.count("-") == 4
+
+
+def test_prefix_counts_utf16_units(spark):
+    from forumshift.functions.text import left
+    names = [None, "", "abc", "éèê" * 9, "𝟘𝟙𝟚", "x𝟘𝟙𝟚", "𝟘x𝟙x𝟚", "日本語𠀀字", "a" * 30, "\U0010ffff" * 20]
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    for n in (1, 2, 3, 4, 5, 7, 20):
+        got = [r[0] for r in df.select(left("s", n)).collect()]
+        for name, x in zip(names, got):
+            want = None if name is None else name.encode("utf-16-be")[:2 * n].decode("utf-16-be", "ignore")
+            assert x == want, (name, n)
+
+
+def test_permission_strings(spark):
+    import pytest
+    from forumshift.functions.permissions import grants, joined
+    rows = [(1, "0;13;|1134;||"), (2, "|||"), (3, None), (4, "5:6; 7 ;|8"), (5, ""), (6, "1;|2;|3;|4;5;"), (7, "1;1;|||")]
+    df = spark.createDataFrame(rows, "k int, p string")
+    got = sorted(tuple(r) for r in grants(df, "p", "k").collect())
+    assert got == [(1, "role", 0, 0), (1, "role", 1, 13), (1, "user", 0, 1134), (4, "role", 0, 5), (4, "role", 1, 6),
+                   (4, "role", 2, 7), (4, "user", 0, 8), (6, "group_owner", 0, 3), (6, "other", 0, 4), (6, "other", 1, 5),
+                   (6, "role", 0, 1), (6, "user", 0, 2), (7, "role", 0, 1), (7, "role", 1, 1)]
+    back = {r.k: r.Permissions for r in joined(grants(df, "p", "k"), "k").collect()}
+    assert back == {1: "0;13;|1134;||", 4: "5;6;7;|8;||", 6: "1;|2;|3;|4;5;", 7: "1;1;|||"}
+    again = grants(spark.createDataFrame(list(back.items()), "k int, p string"), "p", "k")
+    assert sorted(tuple(r) for r in again.collect()) == got
+    for bad in ("1;|2;|3;|4;|5;", "x;|||"):
+        with pytest.raises(Exception):
+            grants(spark.createDataFrame([(1, bad)], "k int, p string"), "p", "k").collect()

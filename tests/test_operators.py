@@ -156,3 +156,18 @@ def test_assign_ids_uses_session_partitions_and_empty_tables(spark):
     assert got.join(want, ["event_id"]).filter("id != want").count() == 0
     assert got.count() == ev.count()
     assert assign_ids(ev.limit(0), "id", ["event_id"]).count() == 0
+
+
+def test_update_by_two_different_rows_is_an_error(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, f int")
+    twice = spark.createDataFrame([(1, 5), (2, 7), (2, 7), (9, 1), (9, 2)], "id int, new int")
+    got = update_only_merge(target, twice, ["id"], {"f": F.col("new")})
+    assert sorted(map(tuple, got.collect())) == [(1, 5), (2, 7), (3, 30)]       # equal rows update once; 9 updates none
+    for other in (8, None):
+        clash = twice.union(spark.createDataFrame([(2, other)], "id int, new int"))
+        with pytest.raises(Exception, match="several source rows of different values"):
+            update_only_merge(target, clash, ["id"], {"f": F.col("new")}).collect()
+        spared = update_only_merge(target, clash, ["id"], {"f": F.col("new")}, when=F.col("f") != 20)
+        assert sorted(map(tuple, spared.collect())) == [(1, 5), (2, 20), (3, 30)]
+    with pytest.raises(ValueError, match="columns of both sides"):
+        update_only_merge(target, twice.withColumnRenamed("new", "f"), ["id"], {"f": F.lit(1)})
