@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 STATUS = "STATUS.json"
 
 
-def publish(spark: SparkSession, changed: dict[str, DataFrame], unchanged: dict[str, str], root: str, run: str) -> dict:
-    """Write ``changed`` and list it with the ``unchanged`` folders (table -> path)."""
-    tables = {name: [path] for name, path in unchanged.items()}
+def publish(spark: SparkSession, changed: dict[str, DataFrame], unchanged: dict[str, str | list[str]], root: str, run: str) -> dict:
+    """Write ``changed`` and list it with the ``unchanged`` folders (table -> path or paths)."""
+    tables = {name: [paths] if isinstance(paths, str) else list(paths) for name, paths in unchanged.items()}
     for name, df in changed.items():
         path = f"{root}/{run}/{name}"
         df.write.mode("errorifexists").parquet(path)
@@ -31,11 +31,15 @@ def publish(spark: SparkSession, changed: dict[str, DataFrame], unchanged: dict[
     return tables
 
 
+def listed(spark: SparkSession, root: str, run: str) -> dict[str, list[str]]:
+    """Table -> folders of a published run; raises for a run that was not completed."""
+    return json.loads("".join(r.value for r in spark.read.text(f"{root}/{run}/{STATUS}").collect()))["tables"]
+
+
 def read_published(spark: SparkSession, root: str, run: str) -> dict[str, DataFrame]:
-    """The tables of a published run; raises for a run that was not completed."""
-    listed = json.loads("".join(r.value for r in spark.read.text(f"{root}/{run}/{STATUS}").collect()))
+    """The tables of a published run."""
     out = {}
-    for name, paths in listed["tables"].items():
+    for name, paths in listed(spark, root, run).items():
         parts = [spark.read.parquet(p) for p in paths]
         columns = parts[-1].columns
         out[name] = parts[0].select(*columns)

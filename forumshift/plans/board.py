@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lowered, name_guid, random_guid
+from ..functions.text import lowered, name_guid, name_key, random_guid
 from ..operators.joins import not_in
 from ..operators.lookups import resolve
 from ..schemas import ID_COLUMNS
@@ -29,15 +29,19 @@ def resolve_run_scalars(m: Migration) -> None:
     portal_df = src["modules"].filter(_col("ModuleID") == mod).select("PortalID")
     portal = portal_df.scalar()
     defs = src["profile_property_definition"].filter(_col("PortalID") == portal)
-    tz_type = src["lists"].filter((_col("ListName") == "DataType") & (_col("Value") == "TimeZone")).select("EntryID")
+
+    def named(col: str, *names: str) -> Column:                  # Q10: constants compare like names do
+        return name_key(col, p.name_collation).isin(*names)
+
+    tz_type = src["lists"].filter(named("ListName", "DataType") & named("Value", "TimeZone")).select("EntryID")
 
     def prop(name: str) -> DataFrame:
-        return defs.filter(_col("PropertyName") == name).select("PropertyDefinitionID")
+        return defs.filter(named("PropertyName", name)).select("PropertyDefinitionID")
 
     lookups = {
         "portal_id": portal_df,
         "default_tz": src["portals"].filter(_col("PortalID") == portal).select("TimezoneOffset"),
-        "app_guid": src["aspnet_applications"].filter(_col("ApplicationName").isin(list(p.app_names)))
+        "app_guid": src["aspnet_applications"].filter(named("ApplicationName", *p.app_names))
                                               .select("ApplicationID"),
         "tz_pid": defs.filter(_col("DataType") == tz_type.scalar()).select("PropertyDefinitionID"),
         "bd_pid": prop("Birthday"),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import name_key
 
-def discover_boards(src: dict[str, DataFrame]) -> DataFrame:
+
+def discover_boards(src: dict[str, DataFrame], name_collation: str | None = None) -> DataFrame:
     """Groups JOIN TabModules JOIN Tabs LEFT JOIN ModuleSettings(SettingName='MODE'), DISTINCT.
 
     The constant of the outer join's ON clause filters the settings *before* the join (a
@@ -16,7 +18,7 @@ def discover_boards(src: dict[str, DataFrame]) -> DataFrame:
     g = src["af_groups"].select("ModuleID")
     m = src["tab_modules"].select("ModuleID", "TabID", "ModuleTitle")
     t = src["tabs"].select("TabID", "PortalID", "TabPath")
-    s = (src["module_settings"].filter(F.col("SettingName") == F.lit("MODE"))
+    s = (src["module_settings"].filter(name_key("SettingName", name_collation) == F.lit("MODE"))
          .select(F.col("ModuleID").alias("S_ModuleID"), "SettingValue"))
     joined = (g.join(m, "ModuleID").join(t, "TabID")
                .join(s, F.col("ModuleID") == F.col("S_ModuleID"), "left"))

@@ -45,10 +45,15 @@ def build_user_map(m: Migration) -> DataFrame:
     return _name_join(users, y, "UserName", "YName", m.p.name_collation).select("UserID", "YUserID", "YDisplayName")
 
 
+def _is_guest(m: Migration):
+    """Whether a user's name is the guest's, under the run's name collation (NULL for no name)."""
+    return name_key("Name", m.p.name_collation) == F.lit("Guest")
+
+
 # ------------------------------------------------------------------------- F15
 def clone_guest(m: Migration) -> None:
     """All columns copied, RankID included (it keeps the template board's rank, Q24)."""
-    clone_template(m, "yaf_User", "UserID", ["BoardID", "Name"], where=c("Name") == F.lit("Guest"))
+    clone_template(m, "yaf_User", "UserID", ["BoardID", "Name"], where=_is_guest(m))
 
 
 # ------------------------------------------------------------------------- F16
@@ -130,14 +135,14 @@ def _membership(m: Migration, pairs: DataFrame) -> None:
 
 def guest_membership(m: Migration) -> None:
     """Guest user x groups with Flags = 2 of the board (joined only through BoardID: J8)."""
-    guests = m.board_rows("yaf_User").filter(c("Name") == F.lit("Guest")).select("BoardID", "UserID")
+    guests = m.board_rows("yaf_User").filter(_is_guest(m)).select("BoardID", "UserID")
     _membership(m, _product(m, guests, _board_groups(m, 2), ["BoardID"]))
 
 
 def registered_membership(m: Migration) -> None:
     """Every non-guest user of the board x groups with Flags = 4 (NULL names excluded, as
     ``!=`` rejects NULL)."""
-    users = m.board_rows("yaf_User").filter(c("Name") != F.lit("Guest")).select("BoardID", "UserID")
+    users = m.board_rows("yaf_User").filter(~_is_guest(m)).select("BoardID", "UserID")
     _membership(m, _product(m, users, _board_groups(m, 4), ["BoardID"]))
 
 

@@ -226,18 +226,29 @@ def fixture_targets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                                      F.lit(1).alias("AllowThreaded"), F.lit("").alias("MembershipAppName"),
                                      F.lit("").alias("RolesAppName"))
     b = TEMPLATE_BOARD
-    tgt["yaf_AccessMask"] = spark.createDataFrame(
-        [(1, b, "Admin Access", 2047, 0), (2, b, "Moderator Access", 1023, 1), (3, b, "Member Access", 1017, 2),
-         (4, b, "Read Only Access", 1, 3), (5, b, "No Access", 0, 4)], TARGETS["yaf_AccessMask"])
+    # five masks and ranks a board, in the order of the nations of its region
+    nation, nth = d["nation"], F.expr("n_nationkey DIV 5").cast("int")
+    board_of = (c("n_regionkey") + 1).alias("BoardID")
+
+    def by_place(*values):
+        out = F.lit(None)
+        for k, v in enumerate(values):
+            out = F.when(nth == k, F.lit(v)) if k == 0 else out.when(nth == k, F.lit(v))
+        return out
+
+    tgt["yaf_AccessMask"] = nation.select(
+        (c("n_nationkey") + 1).alias("AccessMaskID"), board_of, F.concat(F.lit("Access of "), c("n_name")).alias("Name"),
+        by_place(2047, 1023, 1017, 1, 0).alias("Flags"), nth.alias("SortOrder"))
     tgt["yaf_Group"] = spark.createDataFrame(
         [_group_row(1, b, "Administrators", 1, 30, 1), _group_row(2, b, "Guests", 2, 0, 2),
          _group_row(3, b, "Registered", 4, 30, 3), _group_row(4, b, "Moderators", 0, 30, 4)], TARGETS["yaf_Group"])
-    tgt["yaf_Rank"] = spark.createDataFrame(
-        [(1, b, "Administration", None, None, 0, 2147483647, None, 1, "", 128, "URL,IMG", "", 0, 0),
-         (2, b, "Guest", None, None, 0, 0, None, 2, "", 0, "", "", 0, 0),
-         (3, b, "Newbie", 0, None, 3, 10, None, 3, "", 128, "URL", "", 0, 0),
-         (4, b, "Member", 10, None, 2, 30, None, 4, "", 128, "URL,IMG", "", 0, 0),
-         (5, b, "Advanced Member", 30, None, 2, 100, None, 5, "", 256, "URL,IMG", "", 5, 10)], TARGETS["yaf_Rank"])
+    tgt["yaf_Rank"] = nation.select(
+        (c("n_nationkey") + 1).alias("RankID"), board_of, F.concat(F.lit("Rank of "), c("n_name")).alias("Name"),
+        by_place(None, None, 0, 10, 30).cast("int").alias("MinPosts"), by_place(0, 0, 3, 2, 2).alias("Flags"),
+        by_place(2147483647, 0, 10, 30, 100).alias("PMLimit"), (nth + 1).alias("SortOrder"), F.lit("").alias("Description"),
+        by_place(128, 0, 128, 128, 256).alias("UsrSigChars"),
+        by_place("URL,IMG", "", "URL", "URL,IMG", "URL,IMG").alias("UsrSigBBCodes"), F.lit("").alias("UsrSigHTMLTags"),
+        by_place(0, 0, 0, 0, 5).alias("UsrAlbums"), by_place(0, 0, 0, 0, 10).alias("UsrAlbumImages"))
 
     pk = c("p_partkey")
     board = (pk % 5 + 1)

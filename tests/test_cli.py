@@ -31,6 +31,27 @@ def test_cli_reads_folders_runs_and_publishes(spark):
     assert report["tables"]["yaf_Board"][0] == f"{root}/tgt/yaf_Board" and len(report["tables"]["yaf_Board"]) == 2
 
 
+def test_cli_goes_on_from_a_published_run(spark):
+    """A second module on the first's result; then the first module again, which finds nothing new."""
+    root = tempfile.mkdtemp(prefix="forumshift-cli-")
+    for name, df in fixture_sources(spark, SF_SMALL).items():
+        df.write.parquet(f"{root}/src/{name}")
+    for name, df in fixture_targets(spark, SF_SMALL).items():
+        df.write.parquet(f"{root}/tgt/{name}")
+    run = ["--sources", f"{root}/src", "--out", f"{root}/out", "--tz-offset", "-60"]
+    one = main([*run, "--targets", f"{root}/tgt", "--module-id", "0"], spark=spark)
+    two = main([*run, "--targets", f"{root}/out", "--from-run", one["run"], "--module-id", "1"], spark=spark)
+    assert (one["board_id"], two["board_id"]) == (6, 7)
+    first, second = [read_published(spark, f"{root}/out", x["run"]) for x in (one, two)]
+    assert {r.ModuleID for r in second["crosswalk"].select("ModuleID").distinct().collect()} == {0, 1}
+    assert second["yaf_Category"].count() == first["yaf_Category"].count() + 1
+    again = main([*run, "--targets", f"{root}/out", "--from-run", two["run"], "--module-id", "0"], spark=spark)
+    third = read_published(spark, f"{root}/out", again["run"])
+    assert again["board_id"] == 6
+    for table in second:
+        assert third[table].count() == second[table].count(), table
+
+
 def test_lineage_of_an_earlier_run_is_kept_and_refuses_a_second(spark):
     root = tempfile.mkdtemp(prefix="forumshift-cli-")
     src, tgt = fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL)

@@ -284,3 +284,26 @@ def test_q17_statistics_update_pre_existing_topics(spark, small_run):
     got = m2.tgt["yaf_Topic"].filter(F.col("TopicID") == tid).select("NumPosts").first()[0]
     assert got == small_run.tgt["yaf_Message"].filter(F.col("TopicID") == tid).count()
     assert m2.tgt["yaf_Topic"].count() == small_run.tgt["yaf_Topic"].count()
+
+
+def test_q10_constants_compare_under_the_collation(spark):
+    """A template guest spelled 'guest ' is cloned, linked and excluded like 'Guest'; so are the names of
+    properties, lists and applications."""
+    from forumshift.plans.discovery import discover_boards
+    src, tgt = fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL)
+    tgt["yaf_User"] = tgt["yaf_User"].withColumn("Name", F.when(F.col("Name") == "Guest", F.lit("guest ")).otherwise(F.col("Name")))
+    src["profile_property_definition"] = src["profile_property_definition"].withColumn("PropertyName", F.upper("PropertyName"))
+    src["lists"] = src["lists"].withColumns({"ListName": F.lower("ListName"), "Value": F.upper("Value")})
+    src["aspnet_applications"] = src["aspnet_applications"].withColumn("ApplicationName", F.lower("ApplicationName"))
+    params = dataclasses.replace(fixture_params(), name_collation="UTF8_LCASE_RTRIM")
+    m = Migration(spark, src, tgt, params).run(upto="F19")
+    plain = Migration(spark, fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL), params).run(upto="F19")
+    guest = [r.UserID for r in m.board_rows("yaf_User").filter("Name = 'guest '").collect()]
+    assert len(guest) == 1 and m.scalars == plain.scalars
+    groups = m.board_rows("yaf_Group").select("GroupID", "Flags")
+    linked = m.inserted_rows("yaf_UserGroup").join(groups, "GroupID").filter(F.col("UserID") == guest[0]).collect()
+    assert [r.Flags for r in linked] == [2]
+    assert m.inserted_rows("yaf_UserGroup").count() == plain.inserted_rows("yaf_UserGroup").count()
+    src["module_settings"] = src["module_settings"].withColumn("SettingName", F.lower("SettingName"))
+    found = discover_boards(src, "UTF8_LCASE_RTRIM").filter("ForumMode IS NOT NULL").count()
+    assert found > 0 and discover_boards(src).filter("ForumMode IS NOT NULL").count() == 0
