@@ -160,7 +160,8 @@ class Shard:
 
 
 _MANIFEST = [("shard", T.LongType()), ("payload", T.StringType()), ("index", T.StringType()),
-             ("n_docs", T.LongType()), ("n_tokens", T.LongType()), ("first_id", T.LongType()), ("last_id", T.LongType())]
+             ("n_docs", T.LongType()), ("n_null", T.LongType()), ("n_tokens", T.LongType()), ("first_id", T.LongType()),
+             ("last_id", T.LongType())]
 
 
 def write_store(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
@@ -197,7 +198,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None
         with fs.open_output_stream(f"{path}/{stem}.mph") as f:
             f.write(write_index(keys, none, occurrence, n, enc.dtype.itemsize))
         real = keys[~none]
-        row = (shard, f"{folder}/{stem}.ids", f"{folder}/{stem}.mph", len(keys), int(n.sum()),
+        row = (shard, f"{folder}/{stem}.ids", f"{folder}/{stem}.mph", len(keys), int(none.sum()), int(n.sum()),
                int(real[0]) if len(real) else None, int(real[-1]) if len(real) else None)
         yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema)], schema=schema)
 
@@ -228,5 +229,32 @@ def read_store(manifest: DataFrame) -> DataFrame:
                         pa.array((shard.offset[part] + np.uint64(base)).astype(np.int64)),
                         pa.array(shard.length[part].astype(np.int64)), pa.array(crc, pa.int64())], schema=schema)
 
-    rows = manifest.select("payload", "index", "base").repartition("payload")
+    # a task per shard, whatever the bytes of its manifest row
+    last = manifest.agg(F.max("shard")).first()[0]
+    rows = manifest.select("payload", "index", "base", F.col("shard").cast("int").alias("shard"))
+    rows = rows.repartitionById((last or 0) + 1, "shard").drop("shard")
     return arrow_map(rows, run, T.StructType([T.StructField(f.name, T.LongType()) for f in schema]))
+
+
+class Store:
+    """Keyed reading over all shards of a manifest.  Which shards may hold an id is asked of the
+    manifest; each answers from its index."""
+
+    def __init__(self, manifest: DataFrame):
+        self.manifest, self._open = manifest, {}
+
+    def get(self, doc_id: int | None, occurrence: int = 0) -> np.ndarray | None:
+        """The ids of a document, or None.  Documents of one id are numbered in their order, over the
+        shards."""
+        held = F.col("n_null") > 0 if doc_id is None else F.lit(doc_id).between(F.col("first_id"), F.col("last_id"))
+        for row in self.manifest.filter(held).orderBy("shard").select("payload", "index").toLocalIterator():
+            if row not in self._open:
+                if len(self._open) >= 8:
+                    self._open.pop(next(iter(self._open)))
+                self._open[row] = Shard(*row)
+            k = 0
+            while (found := self._open[row].get(doc_id, k)) is not None:
+                if occurrence == 0:
+                    return found
+                occurrence, k = occurrence - 1, k + 1
+        return None

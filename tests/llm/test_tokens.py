@@ -100,3 +100,24 @@ def test_store_round_trip(spark):
     shard = token_store.Shard(row.payload, row["index"])
     assert shard.get(10**12) is None
     assert token_store.read_store(token_store.write_store(spark.createDataFrame([], DOCS), vocabulary("byte_bpe_50k.json"), 0)).count() == 0
+
+
+def test_store_answers_over_all_shards(spark):
+    """Hits, misses, null ids and one id in two shards; a task per shard reads back."""
+    texts = some_texts(120, 4)
+    docs = [(k, t, "x") for k, t in enumerate(texts)] + [(7, t, "y") for t in some_texts(60, 6, 10)] + [(None, "none", "z"), (None, "more", "z")]
+    name = vocabulary("byte_bpe_50k.json")
+    one = token_store.write_store(spark.createDataFrame(docs[:70], DOCS).coalesce(1), name, 0)
+    two = token_store.write_store(spark.createDataFrame(docs[70:], DOCS).coalesce(1), name, 0)
+    both = one.union(two.withColumn("shard", two.shard + 1000))
+    store = token_store.Store(both)
+    ids = library_ids("byte_bpe_50k.json", [d[1] or "" for d in docs], 0)
+    for k in (0, 6, 8, 69, 70, 119):
+        assert store.get(k).tolist() == ids[k].tolist() and store.get(k, 1) is None
+    assert store.get(500) is None and store.get(-1) is None and store.get(None, 2) is None
+    sevens = sorted(x.tolist() for d, x in zip(docs, ids) if d[0] == 7)
+    assert sorted(store.get(7, k).tolist() for k in range(len(sevens))) == sevens and store.get(7, len(sevens)) is None
+    assert sorted(store.get(None, k).tolist() for k in (0, 1)) == sorted(x.tolist() for d, x in zip(docs, ids) if d[0] is None)
+    whole = spark.createDataFrame(docs, DOCS).repartition(4)
+    manifest = token_store.write_store(whole, name, 0)
+    assert token_store.read_store(manifest).rdd.getNumPartitions() >= manifest.count()
