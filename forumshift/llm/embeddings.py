@@ -4,8 +4,9 @@ Every vector is normalised in double precision and quantised to int8 with its ow
 remainder e = x - s q is known exactly enough to bound every product:
 |x.y - s_x s_y q_x.q_y| <= |s_x q_x| |e_y| + |e_x| |s_y q_y| + |e_x| |e_y|.  Tiles of
 ``TILE`` by ``TILE`` vectors multiply the int8 parts (integers, exact in single precision up to
-``EXACT_DIM`` components, in double beyond); only pairs whose upper bound reaches the threshold
-are recomputed in double precision from the full vectors.
+``EXACT_DIM`` components, in double beyond).  A pair whose lower bound reaches the threshold is a
+link; one whose bounds lie around it is open, and a second pass over the tile recomputes the open
+pairs in double precision, from the full vectors of those that take part in one.
 
 Identical vectors form a class first and only classes meet, so copies are never paired.  All
 classes are compared, in blocks; a tile returns link counts per class and a spanning forest of
@@ -33,6 +34,7 @@ from forumshift.llm.shipping import arrow_map
 from forumshift.llm.staging import stage
 
 TILE, EXACT_DIM = 4096, 1040
+MOST_TASKS = 20_000
 _ROWS = 512                    # rows of a tile multiplied at a time
 _SLACK = 1e-5                  # above the single-precision error of scaling a product
 
@@ -74,6 +76,8 @@ def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Side:
+    """The vectors of one side of a tile; ``full`` only where the table has them."""
+
     def __init__(self, t: pa.Table, kind: str, dim: int):
         self.cls = t.column("cls").to_pylist()
         self.copies = t.column("copies").to_numpy().astype(np.float64)
@@ -81,55 +85,73 @@ class _Side:
         self.q = self.q.astype(np.float32 if dim <= EXACT_DIM else np.float64)
         self.scale, self.err = t.column("scale").to_numpy(), t.column("err").to_numpy()
         self.size = self.scale * np.sqrt((self.q.astype(np.float64) ** 2).sum(axis=1))
-        full = np.frombuffer(b"".join(t.column("full").to_pylist()), kind).reshape(-1, dim).astype(np.float64)
-        top = np.abs(full).max(axis=1, keepdims=True)
-        full = np.where(np.isfinite(np.linalg.norm(full, axis=1, keepdims=True)), full, full / top)
-        self.full = full / np.linalg.norm(full, axis=1, keepdims=True)
-
-
-def _tile_links(threshold: float, kind: str):
-    def links(one: _Side, two: _Side) -> tuple[np.ndarray, np.ndarray]:
-        """Index pairs of all links between the sides."""
-        out = []
-        for lo in range(0, len(one.scale), _ROWS):
-            r = slice(lo, lo + _ROWS)
-            dot = one.q[r] @ two.q.T
-            dot *= one.scale[r, None].astype(dot.dtype)
-            dot *= two.scale[None, :].astype(dot.dtype)
-            loose = one.size[r] * two.err.max() + one.err[r] * two.size.max() + one.err[r] * two.err.max()
-            i, j = np.nonzero(dot >= (threshold - _SLACK - loose)[:, None].astype(dot.dtype))
-            near = dot[i, j].astype(np.float64)
-            i = i + lo
-            bound = one.size[i] * two.err[j] + one.err[i] * two.size[j] + one.err[i] * two.err[j]
-            maybe = near + bound >= threshold - _SLACK
-            i, j = i[maybe], j[maybe]
-            for k in range(0, len(i), 1 << 16):
-                a, b = i[k:k + (1 << 16)], j[k:k + (1 << 16)]
-                sure = np.einsum("ij,ij->i", one.full[a], two.full[b]) >= threshold
-                out.append(np.stack([a[sure], b[sure]]))
-        both = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        return both[0], both[1]
+        if "full" in t.column_names:
+            full = np.frombuffer(b"".join(t.column("full").to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+            top = np.abs(full).max(axis=1, keepdims=True)
+            full = np.where(np.isfinite(np.linalg.norm(full, axis=1, keepdims=True)), full, full / top)
+            self.full = full / np.linalg.norm(full, axis=1, keepdims=True)
+
+
+def _bounded(one: _Side, two: _Side, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j) of the pairs whose bounds lie above the threshold, and of those around it."""
+    sure, open_ = [], []
+    for lo in range(0, len(one.scale), _ROWS):
+        r = slice(lo, lo + _ROWS)
+        dot = one.q[r] @ two.q.T
+        dot *= one.scale[r, None].astype(dot.dtype)
+        dot *= two.scale[None, :].astype(dot.dtype)
+        loose = one.size[r] * two.err.max() + one.err[r] * two.size.max() + one.err[r] * two.err.max()
+        i, j = np.nonzero(dot >= (threshold - _SLACK - loose)[:, None].astype(dot.dtype))
+        near = dot[i, j].astype(np.float64)
+        i = i + lo
+        if same:
+            near, i, j = near[i != j], i[i != j], j[i != j]
+        bound = one.size[i] * two.err[j] + one.err[i] * two.size[j] + one.err[i] * two.err[j]
+        above = near - bound >= threshold + _SLACK
+        around = ~above & (near + bound >= threshold - _SLACK)
+        sure.append(np.stack([i[above], j[above]]))
+        open_.append(np.stack([i[around], j[around]]))
+    (si, sj), (oi, oj) = [np.concatenate(x, axis=1) if x else np.zeros((2, 0), np.int64) for x in (sure, open_)]
+    return si, sj, oi, oj
+
 
+_FOUND = "u binary, v binary, n long, open boolean, is_left boolean, dim long, i long, j long"
+
+
+def _tile(threshold: float, kind: str, exact: bool):
+    """The links of a tile as counts and a forest.  From the int8 parts come the links that the bounds
+    prove, and the vectors that take part in a pair they leave open; ``exact`` is for a tile of such
+    vectors alone, in full, and gives the links among the open pairs."""
     def run(tile: pa.Table) -> pa.Table:
-        left = np.array(tile.column("is_left").to_pylist())
-        dim = tile.column("dim")[0].as_py()
+        left = tile.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
+        dim, at_i, at_j = [tile.column(c)[0].as_py() for c in ("dim", "i", "j")]
+        same = at_i == at_j
         one = _Side(tile.filter(pa.array(left)), kind, dim)
-        same = left.all()
         two = one if same else _Side(tile.filter(pa.array(~left)), kind, dim)
-        i, j = links(one, two)
-        if same:
-            other = i != j
-            i, j = i[other], j[other]
-        n = len(one.cls)
-        names = one.cls if same else one.cls + two.cls
-        count = np.bincount(i, weights=two.copies[j], minlength=len(names))
-        if not same:
-            count += np.bincount(j + n, weights=one.copies[i], minlength=len(names))
-        low = star(i, j if same else j + n, len(names))
-        hit = np.flatnonzero(count)
-        return pa.table({"u": pa.array([names[k] for k in hit], pa.binary()),
-                         "v": pa.array([names[low[k]] for k in hit], pa.binary()),
-                         "n": pa.array(count[hit].astype(np.int64))})
+        rows: list[tuple] = []
+        if len(one.cls) and len(two.cls):
+            i, j, oi, oj = _bounded(one, two, threshold, same)
+            if exact:
+                kept = [(oi[k:k + (1 << 16)], oj[k:k + (1 << 16)]) for k in range(0, len(oi), 1 << 16)]
+                kept = [(a[s], b[s]) for a, b in kept
+                        for s in [np.einsum("ij,ij->i", one.full[a], two.full[b]) >= threshold]]
+                i = np.concatenate([a for a, _ in kept]) if kept else oi[:0]
+                j = np.concatenate([b for _, b in kept]) if kept else oj[:0]
+            n = len(one.cls)
+            names = one.cls if same else one.cls + two.cls
+            count = np.bincount(i, weights=two.copies[j], minlength=len(names))
+            if not same:
+                count += np.bincount(j + n, weights=one.copies[i], minlength=len(names))
+            low = star(i, j if same else j + n, len(names))
+            rows = [(names[k], names[low[k]], int(count[k]), False, True) for k in np.flatnonzero(count)]
+            if not exact:
+                rows += [(one.cls[k], None, 0, True, True) for k in np.unique(oi)]
+                rows += [] if same else [(two.cls[k], None, 0, True, False) for k in np.unique(oj)]
+        cols = list(zip(*rows)) or [()] * 5
+        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.bool_())
+        place = [pa.array([x] * len(rows), pa.int64()) for x in (dim, at_i, at_j)]
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds)] + place,
+                        names=["u", "v", "n", "open", "is_left", "dim", "i", "j"])
     return run
 
 
@@ -150,9 +172,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
     tiles = dealt.select("*", other).select(
         "dim", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"),
-        (F.col("block") <= F.col("o")).alias("is_left"), "cls", "copies", "q", "scale", "err", "full")
-    found = stage(tiles.groupBy("dim", "i", "j").applyInArrow(
-        _tile_links(threshold, kind), "u binary, v binary, n long"), "vector-links")
+        (F.col("block") <= F.col("o")).alias("is_left"), "cls", "copies", "q", "scale", "err")
+    # as many partitions as tiles, whatever their bytes: the work is in the products
+    n = int(sizes.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 1)
+
+    def products(rows: DataFrame, exact: bool) -> DataFrame:
+        dealt = rows.repartition(min(4 * n, MOST_TASKS), "dim", "i", "j")
+        return stage(dealt.groupBy("dim", "i", "j").applyInArrow(_tile(threshold, kind, exact), _FOUND), "vector-links")
+
+    proven = products(tiles, exact=False)
+    # full vectors go only where a pair is open, and only those of its vectors
+    doubtful = proven.filter("open").select("dim", "i", "j", "is_left", F.col("u").alias("cls"))
+    full = classes.select("cls", "copies", "q", "scale", "err", "full")
+    found = proven.filter("NOT open").union(products(doubtful.join(full, "cls"), exact=True))
     roots = components(found.select("u", "v"), "vector")
     counts = found.groupBy("u").agg(F.sum("n").alias("n")).withColumnRenamed("u", "cls")
     named = (classes.select("cls", "copies").join(counts, "cls", "left")
