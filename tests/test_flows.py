@@ -296,8 +296,8 @@ def test_q10_constants_compare_under_the_collation(spark):
     src["lists"] = src["lists"].withColumns({"ListName": F.lower("ListName"), "Value": F.upper("Value")})
     src["aspnet_applications"] = src["aspnet_applications"].withColumn("ApplicationName", F.lower("ApplicationName"))
     params = dataclasses.replace(fixture_params(), name_collation="UTF8_LCASE_RTRIM")
-    m = Migration(spark, src, tgt, params).run(upto="F19")
-    plain = Migration(spark, fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL), params).run(upto="F19")
+    m = Migration(spark, src, tgt, params).run(upto="F19", parallel=True)
+    plain = Migration(spark, fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL), params).run(upto="F19", parallel=True)
     guest = [r.UserID for r in m.board_rows("yaf_User").filter("Name = 'guest '").collect()]
     assert len(guest) == 1 and m.scalars == plain.scalars
     groups = m.board_rows("yaf_Group").select("GroupID", "Flags")

@@ -1,7 +1,5 @@
 """Reject reasons (Q15)."""
 
-import dataclasses
-
 from pyspark.sql import functions as F
 
 from forumshift.operators.rejects import Lookup, counts, first_failure
@@ -46,7 +44,7 @@ def test_every_reason_of_a_run(spark):
     src["af_forum_topics"] = src["af_forum_topics"].filter(F.col("TopicID") != some[2].TopicID)
     extra = src["af_replies"].limit(1).withColumns({"TopicID": F.lit(10 ** 9).cast("bigint"), "ReplyID": F.lit(-1).cast("bigint")})
     src["af_replies"] = src["af_replies"].unionByName(extra)
-    m = Migration(spark, src, fixture_targets(spark, SF_SMALL), dataclasses.replace(fixture_params())).run()
+    m = Migration(spark, src, fixture_targets(spark, SF_SMALL), fixture_params()).run(parallel=True)
     rows = reject_reasons(m).collect()
     by = {(r.Entity, r.Reason): r.SourceRows for r in rows}
     assert by["topics", "no_content"] == 1 and by["topics", "no_author"] == 1 and by["topics", "not_listed"] == 1

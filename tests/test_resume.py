@@ -14,13 +14,13 @@ from forumshift.sources.driver_fixture import early_sources, old_posts
 @pytest.fixture(scope="module")
 def early(spark):
     src = early_sources(fixture_sources(spark, SF_SMALL))
-    return Migration(spark, src, fixture_targets(spark, SF_SMALL), fixture_params()).run()
+    return Migration(spark, src, fixture_targets(spark, SF_SMALL), fixture_params()).run(parallel=True)
 
 
 @pytest.fixture(scope="module")
 def later(spark, early):
     known = early._store(crosswalk(early), "crosswalk")
-    return Migration(spark, fixture_sources(spark, SF_SMALL), early.published(), fixture_params(), crosswalk=known).run()
+    return Migration(spark, fixture_sources(spark, SF_SMALL), early.published(), fixture_params(), crosswalk=known).run(parallel=True)
 
 
 def test_a_resumed_run_adds_only_what_is_new(spark, early, later, small_run):
@@ -37,7 +37,7 @@ def test_a_resumed_run_adds_only_what_is_new(spark, early, later, small_run):
 
 def test_resuming_without_new_rows_changes_nothing(spark, later):
     known = later._store(crosswalk(later), "crosswalk")
-    again = Migration(spark, later.src, later.published(), fixture_params(), crosswalk=known).run()
+    again = Migration(spark, later.src, later.published(), fixture_params(), crosswalk=known).run(parallel=True)
     for table in again.tgt.base:
         assert again.inserted_rows(table).count() == 0, table
     for table in ("yaf_Topic", "yaf_Forum", "yaf_User"):
@@ -63,7 +63,7 @@ def test_crosswalk_keeps_other_modules_and_needs_one_board(spark, early):
 
 def test_old_topics_that_are_counted_become_an_overlay(spark):
     old = old_posts(spark, SF_SMALL)
-    m = Migration(spark, fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL) | old, fixture_params()).run(upto="F32")
+    m = Migration(spark, fixture_sources(spark, SF_SMALL), fixture_targets(spark, SF_SMALL) | old, fixture_params()).run(upto="F32", parallel=True)
     posted = old["yaf_Topic"].filter("NumPosts = 0").join(old["yaf_Message"].select("TopicID").distinct(), "TopicID")
     rows = m.tgt.overlays["yaf_Topic"][1]
     assert posted.count() > 0 and rows.count() == posted.count() < old["yaf_Topic"].count()
