@@ -72,3 +72,21 @@ def test_sketches_lose_far_less_than_bands():
     bits, most = 2 * minhash.PERMUTATIONS, minhash._most_differing(80)
     lost = sum(math.comb(bits, k) * 0.1 ** k * 0.9 ** (bits - k) for k in range(most + 1, bits + 1))
     assert lost < (1 - 0.8 ** minhash.ROWS) ** minhash.BANDS / 1000
+
+
+def test_hubs_take_lanes(spark, monkeypatch):
+    """Nodes with most of the links are found while the links are written, and change nothing."""
+    from forumshift.llm import components as c
+    monkeypatch.setattr(c, "HUB_LINKS", 20)
+    monkeypatch.setattr(c, "HUB_SHARE", 8)
+    r = random.Random(6)
+    links = [(1, k) for k in range(2, 400)] + [(k, 5000) for k in range(300, 700)] + [(800 + k, 801 + k) for k in range(30)]
+    links += [(r.randrange(900, 999), r.randrange(900, 999)) for _ in range(50)]
+    edges = spark.createDataFrame(links, "u long, v long").repartition(9)
+    _, mark, hubs = c._staged(edges, "test")
+    assert mark[0] == len(links)
+    assert set(hubs) == {x[0] for x in spark.createDataFrame([(1,), (5000,)], "u long").selectExpr("xxhash64(u)").collect()}
+    got = {x.node: x.root for x in components(edges, "test").collect()}
+    low = labels(6000, links)
+    touched = {x for a, b in links if a != b for x in (a, b)}
+    assert {k: got.get(k, k) for k in touched} == {k: low[k] for k in touched}
