@@ -106,10 +106,80 @@ def test_rare_words_score_by_their_own_counts(spark):
     assert np.isfinite(score[4]) and dict((k, w) for k, w, _ in got)[2] == 3
 
 
-def test_every_word_is_a_target_once():
-    h = np.random.default_rng(4).integers(0, 9, 5000).astype(np.uint64)
-    rounds = [lm_score.targets(h, k) for k in range(lm_score.ROUNDS)]
-    assert (sum(x.astype(int) for x in rounds) == 1).all() and all(x.any() for x in rounds)
+def test_every_word_is_a_target_once(spark, monkeypatch):
+    """The pieces hold every word of every text once, each piece in one round of one learner; how the
+    input is partitioned changes nothing."""
+    monkeypatch.setattr(lm_score, "PIECE", 7)
+    r = np.random.default_rng(4)
+    texts = [None, "", " ", *(" ".join(r.choice(["a", "b", "cc", "d" * 40], r.integers(1, 60))) for _ in range(80))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    h = words_of(" ".join(t for t in texts if t))
+    frequent = np.unique(h)
+    net = lm_score.Network(frequent)
+    dealt = [sorted((x.deal, x.round, x.learner, bytes(x.ids)) for x in
+                    lm_score.pieces(docs.repartition(k), frequent, 3).collect()) for k in (1, 9)]
+    assert dealt[0] == dealt[1] and max(len(x[3]) for x in dealt[0]) == 14
+    assert {x[1] for x in dealt[0]} == set(range(lm_score.ROUNDS)) and {x[2] for x in dealt[0]} == {0, 1, 2}
+    held = sorted(np.concatenate([np.frombuffer(x[3], "<u2") for x in dealt[0]]).tolist())
+    assert held == sorted(net.numbers(h).tolist())
+
+
+def words_of(text):
+    import pyarrow as pa
+    from forumshift.llm.wordhash import text_buffers, words
+    return words(*text_buffers(pa.array([text])))[1]
+
+
+def test_training_does_not_depend_on_partitions(spark, sf001):
+    docs = spark.read.parquet(f"{sf001}/documents.parquet").select("doc_id", "text")
+    for learners in (None, 3):
+        nets = [lm_score.train(docs.repartition(k), learners) for k in (1, 40)]
+        assert np.abs(nets[0].flat - nets[1].flat).max() < 1e-5
+
+
+def test_training_beats_counts(spark, sf01):
+    """At any number of learners the network says more than the counts of words alone."""
+    docs = spark.read.parquet(f"{sf01}/documents.parquet").select("doc_id", "text")
+
+    def mean(net):
+        rows = lm_score.score(docs, net).collect()
+        return sum(x.log_likelihood for x in rows) / sum(x.n_words for x in rows)
+
+    one, four = lm_score.train(docs), lm_score.train(docs, 4)
+    counted = lm_score.Network(one.frequent)
+    counted.start_from(one.counts)
+    counted.E[:], counted.C[:], counted.M[:] = 0, 0, 0
+    counted.rare, counted.shared = one.rare, one.shared
+    least = mean(counted)
+    assert mean(one) > least + 0.3 and mean(four) > least + 0.1        # four learners of 0.1 M words each
+
+
+def test_broadcast_and_joined_counts_score_alike(spark, monkeypatch):
+    """Rare words whose counts are broadcast, and the same words joined from the table of counts."""
+    r = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(2600)]
+    share = 1 / np.arange(1, 2601)
+    texts = [" ".join(r.choice(words, r.integers(1, 80), p=share / share.sum())) for _ in range(400)] + ["unseenword w1", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    corpus, found, sizes = docs.filter("doc_id < 400"), [], []
+    for most in (1 << 20, -1, 0):                                  # all, all but the rarest, none
+        monkeypatch.setattr(lm_score, "USUAL_WORDS", most if most >= 0 else sizes[0] - 1)
+        net = lm_score.train(corpus)
+        sizes.append(len(net.usual[0]))
+        found.append({x.doc_id: x.log_likelihood for x in lm_score.score(docs, net).collect()})
+    assert sizes[0] > sizes[1] > 0 == sizes[2]
+    for k in found[0]:
+        assert abs(found[0][k] - found[1][k]) < 1e-6 and abs(found[0][k] - found[2][k]) < 1e-6
+
+
+def test_words_told_apart_follow_the_counts():
+    assert lm_score.side_for(10) == lm_score.SIDE
+    for words in (960, 961, 5000, 40_000):
+        side = lm_score.side_for(words)
+        assert side ** 2 >= words + lm_score.BUCKETS > (side - 1) ** 2 or side == lm_score.SIDE
+    net = lm_score.Network(np.arange(7, 40_007, dtype=np.uint64) << np.uint64(38))     # several words in a slot
+    assert net.numbers(net.frequent).tolist() == list(range(40_000))
+    assert (net.numbers(np.array([1, 2 ** 63], np.uint64)) >= net.words - lm_score.BUCKETS).all()
 
 
 def test_learning_step():
@@ -179,3 +249,30 @@ def test_quantisation_bound_holds():
     near = (q.astype(float) @ q.astype(float).T) * np.outer(s, s)
     size = s * np.linalg.norm(q.astype(float), axis=1)
     assert (np.abs(x @ x.T - near) <= np.outer(size, e) + np.outer(e, size) + np.outer(e, e) + 1e-12).all()
+
+
+def test_open_pairs_are_decided_in_full_precision(spark, monkeypatch):
+    """Pairs right at the threshold: bounds leave them open, full vectors decide; tiles are tasks."""
+    monkeypatch.setattr(embeddings, "TILE", 8)
+    r = np.random.default_rng(5)
+    rows = []
+    for k in range(40):
+        a = r.normal(size=16)
+        a /= np.linalg.norm(a)
+        b = r.normal(size=16)
+        b -= (b @ a) * a
+        b /= np.linalg.norm(b)
+        near = 0.9 + r.choice([-1, 1]) * 10.0 ** -r.integers(3, 9)
+        rows += [(2 * k, a.tolist()), (2 * k + 1, (near * a + np.sqrt(1 - near ** 2) * b).tolist())]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    original = embeddings._tile
+    monkeypatch.setattr(embeddings, "_tile", lambda *x: seen.append(x[-1]) or original(*x))
+    got = {f.vec_id: (f.n_links, f.component_id) for f in embeddings.near_duplicates(docs).collect()}
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    i, j = np.nonzero(unit @ unit.T >= 0.9)
+    i, j = i[i != j], j[i != j]
+    low = star(i, j, len(rows))
+    assert got == {k: (int((i == k).sum()), int(low[k])) for k in range(len(rows))}
+    assert seen == [False, True] and 0 < len(i) < 80
