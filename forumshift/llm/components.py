@@ -20,7 +20,7 @@ from forumshift.llm.shipping import arrow_map
 from forumshift.llm.staging import stage
 from forumshift.operators.joins import spread_join
 
-LANES, HUB_SHARE, HUB_LINKS = 64, 500, 500     # a hub has 1/HUB_SHARE of the links, and HUB_LINKS at least
+LANES, HUB_SHARE, HUB_LINKS = 64, 200, 500     # a hub has 1/HUB_SHARE of the links, and HUB_LINKS at least
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def _staged(edges: DataFrame, label: str) -> tuple[DataFrame, tuple, list[int]]:
     of either column at most), all taken while writing."""
     seen = Observation()
     sums = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
-    tops = [F.expr(f"approx_top_k(xxhash64({c}), {HUB_SHARE}, {10 * HUB_SHARE})").alias(f"top_{c}") for c in "uv"]
+    tops = [F.expr(f"approx_top_k(xxhash64({c}), {HUB_SHARE}, {4 * HUB_SHARE})").alias(f"top_{c}") for c in "uv"]
     out = stage(edges.observe(seen, F.count(F.lit(1)).alias("n"), sums, *tops), f"{label}-edges")
     got = seen.get
     degree: dict[int, int] = {}

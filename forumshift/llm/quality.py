@@ -171,7 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str =
     own = own.groupBy("id").agg(F.min("label").cast("long").alias("label"), F.max("label").alias("top"))
     own = own.filter("label = top").select("id", "label").orderBy(F.xxhash64("id"), "id").limit(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(F.broadcast(own), "id").dropDuplicates(["id"])  # at most ``rows`` pairs of numbers
+    texts = texts.join(F.broadcast(own), "id")                        # at most ``rows`` pairs of numbers
+    texts = texts.groupBy("id").agg(F.max("label").alias("label"), F.max("text").alias("text"))   # one text of a repeated id
     got = arrow_map(texts.select("label", "text"), _bags, T.StructType([
         T.StructField("label", T.LongType()), T.StructField("bag", T.BinaryType())])).collect()
     got.sort(key=lambda r: (r.label, bytes(r.bag)))                   # the same model however rows arrive

@@ -25,17 +25,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and return it reread."""
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> None:
-    """Remove every staged folder of this process; call it once the results are written."""
+def staged() -> list[str]:
+    """The folders that this process has staged and not dropped, in order."""
+    return list(_MADE)
+
+
+def drop_stages(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove staged folders, by default all of this process; call it once the results are written."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _MADE:
-        p = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+    for path in staged() if paths is None else paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
+        _MADE.remove(path)

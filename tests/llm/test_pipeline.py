@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 
 import corpus_pipeline
-from forumshift.llm import queries
+from forumshift.llm import queries, staging
 from forumshift.llm.staging import stage
 from tests.llm.helpers import benchmark_hits, fold, near_components, personal_data
 from tests.llm.test_tokens import library_ids
@@ -64,5 +64,32 @@ def test_stages(spark, sf001):
 
 def test_registered_queries_cover_the_operators(spark):
     assert sorted(queries.queries()) == sorted(["pipeline"] + [k for k in queries.queries() if re.match(r"op\d+_", k)])
-    assert {int(k[2:].split("_")[0]) for k in queries.queries() if k != "pipeline"} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in queries.queries() if k != "pipeline"} == set(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and np.all([k in queries.queries() for k in queries.oracle_sql()])
+
+
+def test_edges_through_the_whole_pipeline(spark, tmp_path):
+    """Nulls, empty and very long texts, repeats, a null id, a clashing column; then an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, spans string"
+    long = " ".join(f"word{k}" for k in range(60_000))
+    rows = [(1, None), (2, ""), (3, " \n"), (4, long), (5, long), (6, "mail a@b.org now, or not at all."), (6, "mail a@b.org now, or not at all."),
+            (None, "no id but a text of its own"), (7, "what is asked in this one test item of ten words exactly today")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x") for i, t in rows], schema)
+    folder = str(tmp_path)
+    labels = spark.createDataFrame([(4, 1, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "what is asked in this one test item of ten words exactly today"), (2, None)], "item_id long, text string")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    items.write.parquet(f"{folder}/benchmark.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    before = staging.staged()
+    packed = corpus_pipeline.run(spark, folder)
+    assert len(staging.staged()) == len(before) + 1               # only the last stage's folder is left
+    tokens = {}
+    for p in packed.collect():
+        tokens[p.doc_id] = tokens.get(p.doc_id, 0) + p.length
+    assert set(tokens) == {1, 2, 3, 4, 6, None} and tokens[1] == tokens[2] == 1 and tokens[4] > 60_000
+    staging.drop_stages(spark, staging.staged()[len(before):])
+    docs.limit(0).write.parquet(f"{folder}/none/documents.parquet")
+    items.limit(0).write.parquet(f"{folder}/none/benchmark.parquet")
+    labels.limit(0).write.parquet(f"{folder}/none/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{folder}/none").count() == 0
