@@ -9,7 +9,7 @@ phrase's own stripe and of its reversed stripe, the phrases ending in it).
 
 * A phrase can only be frequent if both its parts without the last and without the first word
   are, so level k counts just the places whose two phrases of k-1 words pass a Bloom filter of
-  the frequent ones.  The filter has at most ``FILTER_BITS`` bits whatever the corpus; beyond
+  the frequent ones.  The filter is of bounded size (``bloom.FILTER_BITS``) whatever the corpus; beyond
   that it lets more through and the counts, which are exact, cost more.
 * A prefix with ``1/HEAVY`` of all words or more (there are at most HEAVY of them a level) has its
   stripe cut into ``SLOTS`` by the next word, so no task gets the whole stripe of a hot prefix.
@@ -33,14 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forumshift.llm.bloom import Filter, build
 from forumshift.llm.shipping import arrow_map
 from forumshift.llm.staging import stage
 from forumshift.llm.wordhash import byte_hashes, chunks, mix, text_buffers
 
-FILTER_BITS = 1 << 30
 HEAVY, SLOTS = 2000, 64
 WORD_SLOTS = 4096              # of the empty prefix, whose stripe holds every word
-_CHUNK = 8 << 20
+_CHUNK = 4 << 20
+_ROWS = 1 << 14                 # stripes that leave a task at a time
+_BATCH_ROWS = 2500              # texts that enter one at a time
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _WORD, _BLANK, _BREAK = 0, 1, 2
@@ -53,6 +55,9 @@ _FOLD[65:91] += 32
 _STRIPE = T.StructType([T.StructField("lang", T.StringType()), T.StructField("prefix", T.StringType()),
                         T.StructField("slot", T.IntegerType()), T.StructField("next", T.ArrayType(T.StringType())),
                         T.StructField("n", T.ArrayType(T.LongType()))])
+#: A stripe of one chunk on its way: the next words with spaces between, their counts as 32-bit numbers.
+_PACKED = T.StructType(_STRIPE.fields[:3] + [T.StructField("next", T.StringType()), T.StructField("n", T.BinaryType())])
+_PACKED_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slot", pa.int32()), ("next", pa.string()), ("n", pa.binary())])
 _STRIPE_ARROW = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slot", pa.int32()),
                            ("next", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
 
@@ -98,26 +103,6 @@ def phrase_hashes(word: np.ndarray, lang: np.ndarray, k: int) -> np.ndarray:
     return mix(out ^ lang[:n])
 
 
-class Filter:
-    """Two bits a member; says of every member that it is in."""
-
-    def __init__(self, bits: int, data: bytes):
-        self.mask, self.data = _U(bits - 1), np.frombuffer(data, np.uint8)
-
-    @staticmethod
-    def places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        return h & _U(bits - 1), (h >> _U(32)) & _U(bits - 1)
-
-    def __contains__(self, _):
-        raise TypeError("ask has()")
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for p in self.places(h, int(self.mask) + 1):
-            out &= (self.data[p >> _U(3)] >> (p & _U(7)).astype(np.uint8)) & 1 == 1
-        return out
-
-
 def _groups(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(order, first place of each group in it): rows equal in all columns are one group.  ``keys``
     are hashes of the columns; the columns decide where two hashes are equal by chance."""
@@ -172,10 +157,20 @@ def _stripes(w: Words, lang_row: np.ndarray, langs: list[str], k: int, known: Fi
         texts = pc.binary_join_element_wise(*parts, " ") if k > 2 else parts[0]
     else:
         texts = pa.array([""] * len(at), pa.string())
-    yield pa.RecordBatch.from_arrays([
+    out = pa.RecordBatch.from_arrays([
         pa.array(langs, pa.string()).take(pa.array(lang[at])), texts, pa.array(slot[first].astype(np.int32)),
-        pa.ListArray.from_arrays(edges, w.text.take(pa.array(w.code[head + k - 1]))),
-        pa.ListArray.from_arrays(edges, pa.array(count.astype(np.int64)))], schema=_STRIPE_ARROW)
+        pc.binary_join(pa.ListArray.from_arrays(edges, w.text.take(pa.array(w.code[head + k - 1]))), " "),
+        pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((4 * np.append(first, len(head))).astype(np.int32)),
+                                                     pa.py_buffer(count.astype("<i4"))])], schema=_PACKED_ARROW)
+    for lo in range(0, len(at), _ROWS):
+        yield out.slice(lo, _ROWS)
+
+
+def _unpacked(b: pa.RecordBatch) -> pa.Table:
+    offsets = np.frombuffer(b.column(4).buffers()[1], np.int32)[b.column(4).offset:][:b.num_rows + 1]
+    n = np.frombuffer(b.column(4).buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view("<i4").astype(np.int64)
+    at = pa.array(((offsets - offsets[0]) // 4).astype(np.int32))
+    return pa.table([*b.columns[:3], pc.split_pattern(b.column(3), " "), pa.ListArray.from_arrays(at, pa.array(n))], schema=_STRIPE_ARROW)
 
 
 def _merged(t: pa.Table) -> tuple[pa.Array, pa.Array, pa.Array, np.ndarray, pa.Array, np.ndarray]:
@@ -218,9 +213,9 @@ def _merge(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Rec
                                          schema=_STRIPE_ARROW)
 
     for b in batches:
-        t = pa.Table.from_batches([b], schema=_STRIPE_ARROW)
-        if not t.num_rows:
+        if not b.num_rows:
             continue
+        t = _unpacked(b)
         lang, prefix, slot, edges, nexts, n = _merged(pa.concat_tables([carry, t]) if carry is not None else t)
         last = len(lang) - 1                              # its key may go on in the next batch
         at = pa.array(np.array([0, edges[-1] - edges[last]], np.int32))
@@ -237,6 +232,8 @@ def _merge(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Rec
 def stripes(texts: DataFrame, k: int, min_count: int, known: tuple | None = None,
             heavy: np.ndarray | None = None) -> DataFrame:
     """Merged stripes (lang, prefix, slot, next, n) of all phrases of k words of (lang, text)."""
+    # whole texts are long: fewer rows a batch, on either side of the Arrow exchange
+    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
     shared = texts.sparkSession.sparkContext.broadcast((known, np.zeros(0, _U) if heavy is None else heavy))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,26 +247,17 @@ def stripes(texts: DataFrame, k: int, min_count: int, known: tuple | None = None
                 yield from _stripes(Words(raw, offsets[lo:hi + 1]), lang_row[lo:hi], langs, k, filt, hot)
 
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = arrow_map(texts, run, _STRIPE).repartition(parts, "lang", "prefix", "slot")
+    dealt = arrow_map(texts, run, _PACKED).repartition(parts, "lang", "prefix", "slot")
     dealt = dealt.sortWithinPartitions("lang", "prefix", "slot")
     return stage(arrow_map(dealt, lambda batches: _merge(batches, min_count), _STRIPE), f"stripes-{k}")
 
 
 def _filter_of(phrases: DataFrame, k: int, n: int) -> tuple:
-    """(bits, bitmap) of the phrases; its size follows their number up to FILTER_BITS."""
-    bits = min(FILTER_BITS, 1 << max(16, (16 * max(n, 1)).bit_length()))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The Bloom filter of n phrases of k words."""
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for p in Filter.places(_hashes(b.column(0), b.column(1), k), bits):
-                yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64) + 1)], ["p"])
-
-    found = arrow_map(phrases.select("lang", "phrase"), places, "p long")
-    maps = found.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")))
-    data = bytearray(max(bits // 8, 4096))
-    for bucket, block in maps.collect():                       # at most FILTER_BITS / 8 bytes
-        data[(bucket - 1) * 4096:bucket * 4096] = block
-    return bits, bytes(data[:bits // 8])
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(b.column(0), b.column(1), k).view(np.int64))], ["h"])
+    return build(arrow_map(phrases.select("lang", "phrase"), hashes, "h long"), n)
 
 
 def _hashes(langs: pa.Array, phrases: pa.Array, k: int) -> np.ndarray:

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from forumshift.llm import collocations
+from forumshift.llm import bloom, collocations
 from tests.llm.helpers import fold
 
 SCHEMA = "lang string, text string"
@@ -55,7 +55,7 @@ def test_equals_counting_every_phrase(spark, percent):
 def test_small_filters_chunks_and_hot_prefixes_change_nothing(spark, monkeypatch):
     """A full filter lets everything through; every prefix is hot; every text is a chunk."""
     rows = random_rows(8) + [("en", "the end of the " * 400)]
-    monkeypatch.setattr(collocations, "FILTER_BITS", 1 << 16)
+    monkeypatch.setattr(bloom, "FILTER_BITS", 1 << 16)
     monkeypatch.setattr(collocations, "HEAVY", 10 ** 9)
     monkeypatch.setattr(collocations, "_CHUNK", 40)
     monkeypatch.setattr(collocations.Filter, "has", lambda self, h: h == h)
