@@ -333,8 +333,8 @@ _KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_wo
 def _without(marked: DataFrame, window: int) -> DataFrame:
     """The words that no repeated window covers; ``firsts`` are the marked windows that are none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, sizes, texts, starts, ns, firsts = [c.to_pylist() for c in b.columns]
+        for b in (whole.slice(lo, 512) for whole in batches for lo in range(0, whole.num_rows, 512)):
+            _, sizes, texts, starts, ns, firsts = [c.to_pylist() for c in b.columns]
             removed, kept = [], []
             for size, text, start, n, first in zip(sizes, texts, starts, ns, firsts):
                 repeats = np.zeros(size + 1, bool)
@@ -360,7 +360,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
                        F.col(text_col).alias("text"))
     counts = stage(_anchor_counts(rows.select("text").filter("text IS NOT NULL"), window).filter("n > 1"), "anchors")
     n = counts.agg(F.count(F.lit(1)), F.count(F.when(F.col("n") >= HOT, 1))).first()
-    marked = stage(_marked(rows, window, build(counts.select("h"), n[0])), "stretches")
+    marked = stage(_marked(rows, window, build(counts.select("h"), n[0])), "stretches", compression="zstd")
     firsts = _shards(_pieces(marked, window, build(counts.filter(F.col("n") >= HOT).select("h"), n[1])), window)
     firsts = firsts.distinct().groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", "n")).alias("firsts"))
     whole = marked.filter(F.size("start") == 0).select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"),
