@@ -42,7 +42,7 @@ def first_failure(source: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         # written so that it is not folded into a constant, which would drop the lane from the keys
         none = F.pmod(F.xxhash64(step.column), F.lit(1)).cast("long")
         right = step.rows.select(F.col(step.column).alias("_fs_right"), none.alias("_fs_lane"), *carried,
-                                 F.lit(True).alias(_HIT)).filter("_fs_right IS NOT NULL")
+                                 F.lit(True).alias(_HIT)).filter("_fs_right IS NOT NULL").hint("merge")   # as in merge.not_matched
         found = left.join(right, (F.col("_fs_key") == F.col("_fs_right")) & (F.col(_SPREAD) == F.col("_fs_lane")), "left")
         rows = found.withColumn(REASON, F.coalesce(REASON, F.when(F.col(_HIT).isNull(), F.lit(step.reason)))).drop(
             "_fs_key", _SPREAD, "_fs_right", "_fs_lane", _HIT)

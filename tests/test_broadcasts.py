@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from forumshift.operators.joins import spread_join
 from forumshift.operators.merge import not_matched
+from forumshift.operators.rejects import Lookup, first_failure
 from forumshift.session import apply_run_conf
 
 
@@ -40,3 +41,12 @@ def test_lanes_are_merged(spark, monkeypatch):
     got = spread_join(big, small, ["k"])
     plan = _plan_of(got)
     assert got.count() == 1000 and "SortMergeJoin" in plan
+
+
+def test_lookups_of_rejects_are_merged(spark):
+    source = spark.createDataFrame([(1, 10), (2, 10), (3, None), (None, 11)], "a long, b long")
+    first = spark.createDataFrame([(1,), (3,)], "x long")
+    second = spark.createDataFrame([(10,), (10,)], "y long").distinct()
+    marked = first_failure(source, [Lookup("no_a", "a", first, "x"), Lookup("no_b", "b", second, "y")])
+    assert sorted((str(r.a), r.Reason) for r in marked.collect()) == [("1", None), ("2", "no_a"), ("3", "no_b"), ("None", "no_a")]
+    assert "BroadcastHashJoin" not in _plan_of(marked)
